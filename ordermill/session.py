@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 # AQE does the skew work: hot join partitions are cut into slices, rebalanced
 # writes are split, small shuffles are merged. A shuffled join whose lookup side
@@ -23,6 +22,8 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Building a plan is much quicker if Python does not note a call site per column.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
@@ -49,19 +50,26 @@ def shuffle_partitions_for(input_bytes: int) -> int:
     return max(1, -(-input_bytes * ROW_EXPANSION // BYTES_PER_SHUFFLE_PARTITION))
 
 
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total length of the files under the paths, from the file system alone."""
+    total = 0
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in files.globStatus(place) or []:
+            total += files.getContentSummary(found.getPath()).getLength()
+    return total
+
+
 def size_shuffles(spark: SparkSession, *paths: str) -> int:
     """Raise ``spark.sql.shuffle.partitions`` to suit the size of the inputs.
 
     AQE merges partitions that turn out small but does not split plain ones, so
-    the starting number has to fit the data. Only file lengths are read; the
-    setting is never lowered. Returns the number in force.
+    the starting number has to fit the data. The setting is never lowered.
+    Returns the number in force.
     """
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
-    )
-    total = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = shuffle_partitions_for(total)
+    wanted = shuffle_partitions_for(input_bytes(spark, *paths))
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return max(wanted, current)

@@ -6,97 +6,92 @@ the keys. ``seq`` carries the file order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SEQ = "seq"
 
-
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+# The columns the feeds are made from.
+TABLE_COLUMNS = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_type string, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz",
+}
 
 
-def _with_second_copies(rows: DataFrame, key: Column, first: Column, second: Column) -> DataFrame:
-    """Emit ``first`` for each row and ``second`` as well for every tenth key."""
-    copies = F.when(key % 10 == 0, F.array(first, second)).otherwise(F.array(first))
-    return rows.select(F.inline(copies))
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLE_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def customer_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Customers with missing names, cities and ids, bad dates and copies."""
-    customer = _table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
-    nation = _table(spark, folder, "nation").select("n_nationkey", "n_name")
-    rows = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    key, name = F.col("c_custkey"), F.col("c_name")
-    first = F.struct(
-        F.when(key != 7, F.concat(F.lit("C"), key)).alias("customer_id"),
-        F.when(key % 41 != 0, name).alias("customer_name"),
-        F.when(key % 43 != 0, F.col("n_name")).alias("city"),
-        F.when(key % 47 == 0, "2023-13-01").otherwise("2022-03-04").alias("signup_date"),
-        (key * 2).alias(SEQ),
+    rows = _table(spark, folder, "customer").join(
+        _table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey"), "left"
     )
-    second = F.struct(
-        F.concat(F.lit("C"), key).alias("customer_id"),
-        F.concat(F.lit("Copy "), name).alias("customer_name"),
-        F.lit("Elsewhere").alias("city"),
-        F.lit("2022-03-05").alias("signup_date"),
-        (key * 2 + 1).alias(SEQ),
+    first = """struct(
+        if(c_custkey != 7, 'C' || c_custkey, NULL) AS customer_id,
+        if(c_custkey % 41 != 0, c_name, NULL) AS customer_name,
+        if(c_custkey % 43 != 0, n_name, NULL) AS city,
+        if(c_custkey % 47 = 0, '2023-13-01', '2022-03-04') AS signup_date,
+        c_custkey * 2 AS seq)"""
+    second = """struct(
+        'C' || c_custkey AS customer_id,
+        'Copy ' || c_name AS customer_name,
+        'Elsewhere' AS city,
+        '2022-03-05' AS signup_date,
+        c_custkey * 2 + 1 AS seq)"""
+    return rows.selectExpr(
+        f"inline(if(c_custkey % 10 = 0, array({first}, {second}), array({first})))"
     )
-    return _with_second_copies(rows, key, first, second)
 
 
 def product_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Products with missing names and categories, bad prices and copies."""
-    rows = _table(spark, folder, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
-    key, name, kind = F.col("p_partkey"), F.col("p_name"), F.col("p_type")
-    price = F.col("p_retailprice").cast("string")
-    first = F.struct(
-        F.concat(F.lit("P"), key).alias("product_id"),
-        F.when(key % 53 != 0, name).alias("product_name"),
-        F.when(key % 59 != 0, kind).alias("category"),
-        F.when(key % 37 == 0, "n/a").when(key % 61 == 0, "abc").otherwise(price).alias("price"),
-        (key * 2).alias(SEQ),
-    )
-    second = F.struct(
-        F.concat(F.lit("P"), key).alias("product_id"),
-        F.concat(F.lit("Copy "), name).alias("product_name"),
-        kind.alias("category"),
-        F.lit("1.0").alias("price"),
-        (key * 2 + 1).alias(SEQ),
+    first = """struct(
+        'P' || p_partkey AS product_id,
+        if(p_partkey % 53 != 0, p_name, NULL) AS product_name,
+        if(p_partkey % 59 != 0, p_type, NULL) AS category,
+        CASE WHEN p_partkey % 37 = 0 THEN 'n/a'
+             WHEN p_partkey % 61 = 0 THEN 'abc'
+             ELSE string(p_retailprice) END AS price,
+        p_partkey * 2 AS seq)"""
+    second = """struct(
+        'P' || p_partkey AS product_id,
+        'Copy ' || p_name AS product_name,
+        p_type AS category,
+        '1.0' AS price,
+        p_partkey * 2 + 1 AS seq)"""
+    return _table(spark, folder, "part").selectExpr(
+        f"inline(if(p_partkey % 10 = 0, array({first}, {second}), array({first})))"
     )
-    return _with_second_copies(rows, key, first, second)
 
 
 def order_feed(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with orphan and missing keys, bad numbers and dates, copies."""
-    line = _table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        "l_quantity", "l_extendedprice", "l_shipdate",
-    )
-    order = _table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    rows = line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
-    customer, part = F.col("o_custkey"), F.col("l_partkey")
-    supplier, number = F.col("l_suppkey"), F.col("l_orderkey")
-    return rows.select(
-        F.concat(F.lit("O"), number, F.lit("-"), F.col("l_linenumber")).alias("order_id"),
-        F.when(customer == 7, None)
-        .when(customer % 67 == 0, F.concat(F.lit("X"), customer))
-        .otherwise(F.concat(F.lit("C"), customer))
-        .alias("customer_id"),
-        F.when(part % 71 == 0, F.concat(F.lit("X"), part))
-        .otherwise(F.concat(F.lit("P"), part))
-        .alias("product_id"),
-        F.when(part % 29 == 0, "bad")
-        .when(part % 73 == 0, "nan")
-        .when(supplier % 23 == 0, "-3")
-        .when(supplier % 31 == 0, "0")
-        .otherwise(F.col("l_quantity").cast("string"))
-        .alias("quantity"),
-        F.when(number % 53 == 0, "2023-13-01")
-        .when(number % 59 == 0, None)
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
-        .alias("order_date"),
-        F.struct("l_shipdate", part, supplier, "l_extendedprice").alias(SEQ),
+    """Order lines with orphan and missing keys, bad numbers and dates, copies.
+
+    Both tables grow alike, so the join is told to shuffle even while one of
+    them is small. That also spreads a table that sits in one row group.
+    """
+    order = _table(spark, folder, "orders").hint("merge")
+    rows = _table(spark, folder, "lineitem").join(order, F.expr("l_orderkey = o_orderkey"))
+    return rows.selectExpr(
+        "'O' || l_orderkey || '-' || l_linenumber AS order_id",
+        """CASE WHEN o_custkey = 7 THEN NULL
+                WHEN o_custkey % 67 = 0 THEN 'X' || o_custkey
+                ELSE 'C' || o_custkey END AS customer_id""",
+        "if(l_partkey % 71 = 0, 'X', 'P') || l_partkey AS product_id",
+        """CASE WHEN l_partkey % 29 = 0 THEN 'bad'
+                WHEN l_partkey % 73 = 0 THEN 'nan'
+                WHEN l_suppkey % 23 = 0 THEN '-3'
+                WHEN l_suppkey % 31 = 0 THEN '0'
+                ELSE string(l_quantity) END AS quantity""",
+        """CASE WHEN l_orderkey % 53 = 0 THEN '2023-13-01'
+                WHEN l_orderkey % 59 = 0 THEN NULL
+                ELSE date_format(o_orderdate, 'yyyy-MM-dd') END AS order_date""",
+        "struct(l_shipdate, l_partkey, l_suppkey, l_extendedprice) AS seq",
     )
 
 

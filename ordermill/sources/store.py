@@ -9,7 +9,8 @@ from ordermill.plans.sales import in_date_order
 from ordermill.schema import SALES_COLUMNS, SALES_SCHEMA, SALES_TABLE
 
 MONTH_COLUMN = "year_month"
-DATE_ONLY = "yyyy-MM-dd"
+DATE_FORMAT = "yyyy-MM-dd"
+DATE_WITH_OPTIONAL_TIME = "yyyy-MM-dd[ HH:mm:ss[.SSSSSS]]"
 
 
 def _laid_out(sales: DataFrame, by_month: bool) -> DataFrame:
@@ -71,31 +72,34 @@ def verify_load(loaded: DataFrame, written: DataFrame) -> DataFrame:
     ).withColumn("matches", F.col("rows_loaded") == F.col("rows_written"))
 
 
-def export_csv(
-    sales: DataFrame, path: str, ordered: bool = True, date_format: str = DATE_ONLY
-) -> None:
+def export_csv(sales: DataFrame, path: str, ordered: bool = True) -> None:
     """Replace a folder of CSV files with a header, in UTF-8.
 
-    Files follow each other in date order. Say another ``date_format`` if the
-    dates carry a time of day.
+    Files follow each other in date order. Dates at midnight are written
+    without their time.
     """
     rows = in_date_order(sales) if ordered else sales
+    moment = F.col("order_date")
+    at_midnight = moment == moment.cast("date").cast("timestamp_ntz")
+    shown = F.when(at_midnight, F.date_format(moment, DATE_FORMAT)).otherwise(
+        moment.cast("string")
+    )
     (
-        rows.write.mode("overwrite")
+        rows.withColumn("order_date", shown)
+        .write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
         .option("encoding", "UTF-8")
-        .option("timestampNTZFormat", date_format)
         .csv(path)
     )
 
 
-def read_csv_export(spark: SparkSession, path: str, date_format: str = DATE_ONLY) -> DataFrame:
+def read_csv_export(spark: SparkSession, path: str) -> DataFrame:
     """An exported folder with the fact's types."""
     return (
         spark.read.schema(SALES_SCHEMA)
         .option("header", True)
         .option("escape", '"')
-        .option("timestampNTZFormat", date_format)
+        .option("timestampNTZFormat", DATE_WITH_OPTIONAL_TIME)
         .csv(path)
     )
