@@ -36,7 +36,7 @@ def apply_filters(
 
 def filter_values(sales: DataFrame, column: str) -> DataFrame:
     """Sorted distinct values of one column."""
-    return sales.select(column).dropna().distinct().orderBy(column)
+    return sales.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column)
 
 
 def filter_domains(sales: DataFrame) -> DataFrame:

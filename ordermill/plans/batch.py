@@ -17,6 +17,7 @@ from ordermill.functions.money import (
     unit_sum,
 )
 from ordermill.functions.text import bar, pad_left, pad_right, thousands
+from ordermill.functions.values import is_present
 from ordermill.operators.rank import ranked, top_k
 from ordermill.schema import CURRENCY_SIGN
 
@@ -26,9 +27,12 @@ PRODUCT_KEYS = ("product_id", "product_name", "category")
 
 
 def by_group(sales: DataFrame, keys: tuple[str, ...], **measures: Column) -> DataFrame:
-    """Aggregate ``measures`` over rows whose ``keys`` are all present."""
+    """Aggregate ``measures`` over rows whose ``keys`` are all present.
+
+    Plain NULL tests, unlike ``dropna``, are pushed down to the scan.
+    """
     return (
-        sales.dropna(subset=list(keys))
+        sales.filter(is_present(*keys))
         .groupBy(*keys)
         .agg(*(measure.alias(name) for name, measure in measures.items()))
     )

@@ -74,13 +74,16 @@ def read_feed(
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
     if surplus == "fail":
         schema = schema.add(_BROKEN, T.StringType())
-        reader = reader.option("columnNameOfCorruptRecord", _BROKEN)
+        # A row's width is only checked if all of its cells are read.
+        reader = reader.option("columnNameOfCorruptRecord", _BROKEN).option("columnPruning", False)
     rows = reader.schema(schema).csv(path)
     require_columns(rows, columns, path)
 
     if surplus == "fail":
         too_wide = F.coalesce(_has_surplus_cell(F.col(_BROKEN), len(header)), F.lit(False))
-        message = F.concat(F.lit("row with surplus cells: "), F.col(_BROKEN))
+        # Naming a cell too keeps a bare count() from reading the raw row alone.
+        cell = F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))
+        message = F.concat(F.lit("row with surplus cells at '"), cell, F.lit("': "), F.col(_BROKEN))
         rows = rows.filter(F.assert_true(~too_wide, message).isNull())
 
     place = F.struct(
