@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.money import line_amount
-from ordermill.functions.values import month_text
+from ordermill.functions.values import is_present, month_text
 from ordermill.operators.clean import clean_customers, clean_orders, clean_products
 from ordermill.operators.match import match_orders
 from ordermill.schema import DATE_FORMATS, SALES_COLUMNS, SOURCE_ORDINAL
@@ -64,6 +64,15 @@ def build_sales_summary(
     return sales_of(merged, valid_only)
 
 
+def valid_sales(sales: DataFrame) -> DataFrame:
+    """The valid rows of a fact that was built with unmatched orders.
+
+    Clean lookups have no NULL names, so a name tells whether a match was found.
+    One stored fact can thus serve the batch and the dashboard reports.
+    """
+    return sales.filter(is_present("customer_name", "product_name"))
+
+
 def in_date_order(sales: DataFrame) -> DataFrame:
     """Sales by date, then order id. For showing and exporting, not for reports."""
     return sales.orderBy("order_date", "order_id")

@@ -1,0 +1,81 @@
+import pytest
+from helpers import customers, orders, products, values
+
+from ordermill import run_batch, run_etl
+from ordermill.__main__ import main
+from ordermill.plans import dashboard
+from ordermill.plans.sales import valid_sales
+
+FEEDS = {
+    "customers.csv": """customer_id,customer_name,city,signup_date
+C1,Ada,Lagos,2022-01-01
+C1,Ada again,Kano,2022-01-02
+C2,Bayo,Abuja,2022-02-30
+C3,,Ibadan,2022-01-03
+C4,"Chi, O.",Enugu,2022-01-04
+""",
+    "products.csv": """product_id,product_name,category,price
+P1,Rice,Food,1500.5
+P2,Soap,N/A,200
+P3,Lamp,Home,free
+""",
+    "orders.csv": """order_id,customer_id,product_id,quantity,order_date
+O1,C1,P1,2,2023-01-05
+O2,C1,P2,3,2023-02-05
+O3,C2,P1,1,2023-02-06
+O4,C4,P3,1,2023-02-07
+O5,C4,P1,0,2023-02-08
+O6,C4,P1,x,2023-02-08
+O7,C4,P1,4,2023-03-01
+O7,C1,P1,9,2023-03-01
+""",
+}
+
+
+@pytest.fixture
+def folder(tmp_path):
+    for name, text in FEEDS.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    return tmp_path
+
+
+def paths(folder):
+    return [str(folder / name) for name in (*FEEDS, "sales")]
+
+
+def test_batch_run(spark, folder):
+    run = run_batch(spark, *paths(folder))
+    details = {name: values(detail) for name, detail in run.details.items()}
+    assert details["feed_profile"] == [("customers", 5, 4), ("products", 3, 4), ("orders", 8, 5)]
+    assert details["first_orders"][0] == ("O1", "C1", "P1", "2", "2023-01-05")
+    assert details["cleaning_counts"] == [
+        ("customers", 5, 2, 3, None), ("products", 3, 2, 1, None), ("orders", 8, 5, 3, 1),
+    ]
+    assert details["match_counts"] == [(5, 1, 1, 3)]
+    assert len(details["schema"]) == 12 and len(details["first_sales"]) == 5
+    assert details["total_revenue"] == [(3001.0 + 600.0 + 1500.5 + 6002.0,)]
+    assert details["top_customers"] == [
+        (1, "C4", "Chi, O.", "Enugu", 6002.0), (2, "C1", "Ada", "Lagos", 3601.0),
+    ]
+    assert details["category_revenue_share"] == [("Food", 10503.5, 94.6)]
+    assert [row[0] for row in details["monthly_trend"]] == ["2023-01", "2023-02", "2023-03"]
+    assert dashboard.kpis(valid_sales(run.sales)).first().total_orders == 3
+
+
+def test_command_line(spark, folder, capsys):
+    main([*paths(folder), "--flat", "--single-line-cells", "--date-format", "yyyy-MM-dd"])
+    shown = capsys.readouterr().out
+    assert "top_customers" in shown and "Chi, O." in shown
+    assert not list((folder / "sales").glob("year_month=*"))
+
+
+def test_fact_and_quality(spark):
+    sales, report = run_etl(
+        customers(spark, ("c", "Cy", "Abuja")),
+        products(spark, ("p", "Pen", "Office", "2")),
+        orders(spark, ("o2", "c", "p", "2", "2023-02-05"), ("o1", "c", "p", "1", "2023-01-05"),
+               ("o3", "x", "p", "1", "2023-01-05")),
+        order_by="seq",
+    )
+    assert values(sales, "order_id", "total_amount") == [("o1", 2.0), ("o2", 4.0)]
+    assert values(report) == [(1, 1, 1, 1, 3, 3, 1, 0, 2)]

@@ -3,7 +3,12 @@ from datetime import datetime
 from helpers import customers, orders, products, values
 
 from ordermill.operators.match import attach, match_counts
-from ordermill.plans.sales import build_sales_summary, in_date_order, merged_orders
+from ordermill.plans.sales import (
+    build_sales_summary,
+    in_date_order,
+    merged_orders,
+    valid_sales,
+)
 from ordermill.schema import SALES_SCHEMA
 
 
@@ -41,6 +46,7 @@ def test_unmatched_orders_stay_or_go(spark):
     ]
     valid = build_sales_summary(*raw, valid_only=True, order_by="seq")
     assert sorted(values(valid, "order_id")) == [("o1",), ("o4",)]
+    assert sorted(values(valid_sales(everything))) == sorted(values(valid))
 
 
 def test_the_twelve_columns(spark):
