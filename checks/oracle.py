@@ -254,6 +254,7 @@ _BODIES = {
              count(*) FILTER (is_valid) AS valid_orders FROM merged""",
     "sales_summary_all": "SELECT * FROM sales_all",
     "sales_summary_valid": "SELECT * FROM f",
+    "sales_in_date_order": "SELECT * FROM f",
     "preview_sales": "SELECT * FROM f ORDER BY order_date, order_id LIMIT 20",
     "total_revenue": f"SELECT {MONEY} AS total_revenue FROM sales_all",
     "top_customers_5": _ranked("sales_all", CUSTOMER, f"{MONEY} AS total_amount", "total_amount", 5),
@@ -354,6 +355,7 @@ _BODIES = {
     ),
     "csv_export_roundtrip": "SELECT * FROM f",
     "csv_ingest_roundtrip": "SELECT * FROM good_orders",
+    "batch_run_from_csv": "SELECT * FROM sales_all",
 }
 
 ORACLE_SQL = {name: _with(body) for name, body in _BODIES.items()}

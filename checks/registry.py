@@ -7,17 +7,24 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.operators.clean import ORDERS, clean_customers, clean_orders, clean_products, typed_feed
+from ordermill.operators.clean import (
+    ORDERS,
+    clean_customers,
+    clean_orders,
+    clean_products,
+    typed_feed,
+)
 from ordermill.operators.dedup import keep_first, keep_first_counting
 from ordermill.operators.filters import apply_filters, filter_domains
 from ordermill.operators.match import match_counts
+from ordermill.pipeline import run_batch
 from ordermill.plans import batch, dashboard, profile, quality
 from ordermill.plans.present import (
     CATEGORY_SHARE_LABELS,
     CUSTOMER_TABLE_LABELS,
     present,
 )
-from ordermill.plans.sales import build_sales_summary, merged_orders
+from ordermill.plans.sales import build_sales_summary, in_date_order, merged_orders
 from ordermill.session import scratch_path, size_shuffles
 from ordermill.sources import csv_feeds, star_tables, store
 from ordermill.sources.star_tables import SEQ
@@ -91,13 +98,27 @@ def _csv_export_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return store.read_csv_export(spark, path)
 
 
-def _csv_ingest_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "orders-feed")
-    feed = raw_feeds(spark, folder)[2]
+def _as_csv(spark: SparkSession, feed: DataFrame, name: str) -> str:
+    """The feed as CSV files that follow each other in its row order."""
+    path = scratch_path(spark, f"{name}-feed")
     feed.orderBy(SEQ).drop(SEQ).write.option("header", True).csv(path)
+    return path
+
+
+def _csv_ingest_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    path = _as_csv(spark, raw_feeds(spark, folder)[2], "orders")
     return clean_orders(csv_feeds.read_orders(spark, path))
 
 
+def _batch_run_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    names = ("customers", "products", "orders")
+    paths = [
+        _as_csv(spark, feed, name)
+        for name, feed in zip(names, raw_feeds(spark, folder), strict=True)
+    ]
+    return run_batch(spark, *paths, scratch_path(spark, "sales")).sales
+
+
 def _currency_labels(valid: DataFrame) -> DataFrame:
     monthly = dashboard.monthly_orders(valid)
     return present(
@@ -131,6 +152,7 @@ QUERIES: dict[str, Query] = {
     "match_counts": lambda spark, folder: match_counts(_merged(spark, folder)),
     "sales_summary_all": lambda spark, folder: sales(spark, folder, valid_only=False),
     "sales_summary_valid": lambda spark, folder: sales(spark, folder, valid_only=True),
+    "sales_in_date_order": lambda spark, folder: in_date_order(sales(spark, folder, True)),
     "preview_sales": _board(profile.preview_sales),
     # batch reports
     "total_revenue": _batch(batch.total_revenue),
@@ -187,4 +209,5 @@ QUERIES: dict[str, Query] = {
     "schema_report": lambda spark, folder: profile.schema_report(_stored(spark, folder)),
     "csv_export_roundtrip": _csv_export_roundtrip,
     "csv_ingest_roundtrip": _csv_ingest_roundtrip,
+    "batch_run_from_csv": _batch_run_from_csv,
 }

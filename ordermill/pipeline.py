@@ -10,7 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from ordermill.operators.match import match_counts
 from ordermill.plans import batch, profile, quality
 from ordermill.plans.sales import build_sales_summary, in_date_order
-from ordermill.schema import DATE_FORMATS, SOURCE_ORDINAL
+from ordermill.schema import (
+    CUSTOMER_COLUMNS,
+    DATE_FORMATS,
+    ORDER_COLUMNS,
+    PRODUCT_COLUMNS,
+    SOURCE_ORDINAL,
+)
 from ordermill.session import size_shuffles
 from ordermill.sources import csv_feeds, store
 
@@ -64,18 +70,25 @@ def run_batch(
     The fact keeps unmatched orders. Reports read the stored columns they need,
     never the feeds again; only the cleaning counts do.
     """
-    size_shuffles(spark, customers_path, products_path, orders_path)
+    sources = {
+        "customers": (customers_path, CUSTOMER_COLUMNS),
+        "products": (products_path, PRODUCT_COLUMNS),
+        "orders": (orders_path, ORDER_COLUMNS),
+    }
+    size_shuffles(spark, *(path for path, _ in sources.values()))
     feeds = {
-        "customers": csv_feeds.read_customers(spark, customers_path, **read_options),
-        "products": csv_feeds.read_products(spark, products_path, **read_options),
-        "orders": csv_feeds.read_orders(spark, orders_path, **read_options),
+        name: csv_feeds.read_feed(spark, *source, **read_options)
+        for name, source in sources.items()
     }
     built = build_sales_summary(*feeds.values(), date_formats=date_formats)
     store.save_sales(built, target, by_month)
     stored = store.open_sales(spark, target)
     details = {
         "feed_profile": profile.feed_profile(feeds),
-        **{f"first_{name}": profile.preview_feed(feed) for name, feed in feeds.items()},
+        **{
+            f"first_{name}": csv_feeds.head_of_feed(spark, *source, **read_options)
+            for name, source in sources.items()
+        },
         "cleaning_counts": quality.cleaning_counts(*feeds.values(), date_formats=date_formats),
         "match_counts": match_counts(stored),
         "first_sales": profile.preview_sales(stored, 5),

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.functions.values import blank_to_null
+from ordermill.plans.profile import preview_feed
 from ordermill.schema import (
     CUSTOMER_COLUMNS,
     ORDER_COLUMNS,
@@ -20,7 +22,7 @@ from ordermill.schema import (
 _BROKEN = "_broken_row"
 
 
-def has_line_breaks_in_cells(spark: SparkSession, path: str) -> bool:
+def has_line_breaks_in_cells(spark: SparkSession, path: str | list[str]) -> bool:
     """Whether some quoted cell of the files spans lines.
 
     A line that opens such a cell holds an odd number of quotes. The scan is
@@ -40,13 +42,13 @@ def _has_surplus_cell(row_text: Column, width: int) -> Column:
 
 def read_feed(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     columns: Sequence[str],
     multi_line: bool | None = None,
     surplus: str = "fail",
     encoding: str = "UTF-8",
 ) -> DataFrame:
-    """A CSV file or folder as STRING columns, with ``source_ordinal``.
+    """CSV files or folders as STRING columns, with ``source_ordinal``.
 
     Columns are found by header name and every file must carry the same header.
     Missing-cell texts become NULL. ``source_ordinal`` orders rows as they stand
@@ -77,7 +79,7 @@ def read_feed(
         # A row's width is only checked if all of its cells are read.
         reader = reader.option("columnNameOfCorruptRecord", _BROKEN).option("columnPruning", False)
     rows = reader.schema(schema).csv(path)
-    require_columns(rows, columns, path)
+    require_columns(rows, columns, str(path))
 
     if surplus == "fail":
         too_wide = F.coalesce(_has_surplus_cell(F.col(_BROKEN), len(header)), F.lit(False))
@@ -110,3 +112,20 @@ def read_products(spark: SparkSession, path: str, **options) -> DataFrame:
 def read_orders(spark: SparkSession, path: str, **options) -> DataFrame:
     """The orders feed; options as in :func:`read_feed`."""
     return read_feed(spark, path, ORDER_COLUMNS, **options)
+
+
+def head_of_feed(
+    spark: SparkSession, path: str, columns: Sequence[str], n: int = 3, **options
+) -> DataFrame:
+    """The first ``n`` rows of a feed, reading only as many files as hold them.
+
+    Starts with the first file and takes four times as many while rows are
+    missing, which only files with hardly any rows make necessary.
+    """
+    files = sorted(unquote(name) for name in spark.read.text(path).inputFiles())
+    taken = 1
+    while True:
+        feed = read_feed(spark, files[:taken], columns, **options)
+        if taken >= len(files) or feed.limit(n).count() == n:
+            return preview_feed(feed, n)
+        taken *= 4

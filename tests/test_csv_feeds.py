@@ -2,9 +2,10 @@ import pytest
 from helpers import values
 
 from ordermill.operators.clean import clean_customers
-from ordermill.schema import SOURCE_ORDINAL
+from ordermill.schema import CUSTOMER_COLUMNS, SOURCE_ORDINAL
 from ordermill.sources.csv_feeds import (
     has_line_breaks_in_cells,
+    head_of_feed,
     read_customers,
     read_feed,
     read_orders,
@@ -111,6 +112,18 @@ def test_order_over_many_splits_and_files(spark, write, with_conf):
     assert found == sorted(found) and len(found) == 6000
 
 
+def test_head_reads_on_past_files_without_rows(spark, write):
+    names = [f"odd name é/part-{n:02d}.csv" for n in range(8)]
+    for number, name in enumerate(names):
+        body = f"c{number},N,X,2022-01-01\n" * 2 if number in (1, 4, 5) else ""
+        path = write(HEADER + body, name)
+    folder = path.rsplit("/", 1)[0]
+    head = head_of_feed(spark, folder, CUSTOMER_COLUMNS, 3)
+    assert values(head, "customer_id") == [("c1",), ("c1",), ("c4",)]
+    assert len(values(head_of_feed(spark, folder, CUSTOMER_COLUMNS, 50))) == 6
+    assert SOURCE_ORDINAL not in head.columns
+
+
 def test_bad_option(spark, write):
     with pytest.raises(ValueError):
         read_customers(spark, write(HEADER), surplus="ignore")

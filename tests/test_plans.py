@@ -18,7 +18,7 @@ TOP_LISTS = {
 }
 WRITERS = {
     "load_roundtrip", "load_count_check", "schema_report", "csv_export_roundtrip",
-    "csv_ingest_roundtrip", "revenue_heatmap_matrix",
+    "csv_ingest_roundtrip", "batch_run_from_csv", "revenue_heatmap_matrix",
 }
 
 
