@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ordermill.functions.money import money_mean, money_sum, percent_of, round_half_even, unit_sum
 from ordermill.operators.rank import ranked, top_k, top_k_ascending
 from ordermill.plans.batch import AMOUNT, CUSTOMER_KEYS, PRODUCT_KEYS, by_group
+from ordermill.session import checkpointed
 
 NAMED_PRODUCT_KEYS = ("product_name", "category")
 HISTOGRAM_BINS = 20
@@ -116,10 +117,12 @@ def heatmap_matrix(sales: DataFrame, months: list[str] | None = None) -> DataFra
     """Revenue with categories as rows and months as columns, 0.0 where empty.
 
     Columns must be known to plan the pivot: without ``months`` the distinct
-    months are fetched first, one short text per month.
+    months are fetched first, one short text per month. The long form, a row
+    per category and month, is checkpointed so that the sales are read once.
     """
     cells = heatmap_long(sales)
     if months is None:
+        cells = checkpointed(cells)
         found = cells.select("year_month").distinct().orderBy("year_month")
         months = [row.year_month for row in found.collect()]
     wide = cells.groupBy("category").pivot("year_month", months).agg(F.sum("revenue"))

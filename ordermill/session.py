@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE does the skew work: hot join partitions are cut into slices, rebalanced
 # writes are split, small shuffles are merged. A shuffled join whose lookup side
@@ -86,3 +86,11 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = os.path.join(tempfile.gettempdir(), "ordermill-scratch")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """The rows of a frame, computed now and kept in the shared checkpoint folder."""
+    spark = frame.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_path(spark, "checkpoints"))
+    return frame.checkpoint()
