@@ -17,7 +17,7 @@ from ordermill.operators.clean import (
 from ordermill.operators.dedup import keep_first, keep_first_counting
 from ordermill.operators.filters import apply_filters, filter_domains
 from ordermill.operators.match import match_counts
-from ordermill.pipeline import run_batch
+from ordermill.runs import run_batch
 from ordermill.plans import batch, dashboard, profile, quality
 from ordermill.plans.present import (
     CATEGORY_SHARE_LABELS,

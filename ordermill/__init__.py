@@ -1,7 +1,7 @@
 """Retail order analytics as Spark jobs: feeds in, sales fact and reports out."""
 
 from ordermill.operators.filters import apply_filters, filter_domains, filter_values
-from ordermill.pipeline import BatchRun, run_batch, run_etl
+from ordermill.runs import BatchRun, run_batch, run_etl
 from ordermill.plans.sales import build_sales_summary, in_date_order, valid_sales
 from ordermill.session import build_session, size_shuffles
 from ordermill.sources.csv_feeds import read_customers, read_orders, read_products

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from ordermill.pipeline import run_batch
+from ordermill.runs import run_batch
 from ordermill.schema import DATE_FORMATS
 from ordermill.session import build_session
 

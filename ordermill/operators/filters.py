@@ -59,8 +59,8 @@ def filter_domains(sales: DataFrame) -> DataFrame:
             "value",
         )
     )
-    open_choices = sales.sparkSession.createDataFrame(
-        [("category", 0, ANY_VALUE), ("city", 0, ANY_VALUE)],
-        "domain string, position int, value string",
+    open_choices = sales.sparkSession.sql(
+        f"SELECT * FROM VALUES ('category', 0, '{ANY_VALUE}'), ('city', 0, '{ANY_VALUE}') "
+        "AS choices(domain, position, value)"
     )
     return open_choices.unionByName(listed).orderBy("domain", "position")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.plans.sales import in_date_order
@@ -27,20 +27,21 @@ def _laid_out(sales: DataFrame, by_month: bool) -> DataFrame:
     )
 
 
+def _replacing(sales: DataFrame, by_month: bool) -> DataFrameWriter:
+    """A writer that replaces all months, whatever the session's overwrite mode."""
+    writer = _laid_out(sales, by_month).write.mode("overwrite").format("parquet")
+    writer = writer.option("partitionOverwriteMode", "static")
+    return writer.partitionBy(MONTH_COLUMN) if by_month else writer
+
+
 def save_sales(sales: DataFrame, path: str, by_month: bool = True) -> None:
     """Replace the Parquet folder at ``path``, with one subfolder per month."""
-    writer = _laid_out(sales, by_month).write.mode("overwrite")
-    if by_month:
-        writer = writer.partitionBy(MONTH_COLUMN)
-    writer.parquet(path)
+    _replacing(sales, by_month).save(path)
 
 
 def save_sales_table(sales: DataFrame, table: str = SALES_TABLE, by_month: bool = True) -> None:
     """Replace a catalog table."""
-    writer = _laid_out(sales, by_month).write.mode("overwrite").format("parquet")
-    if by_month:
-        writer = writer.partitionBy(MONTH_COLUMN)
-    writer.saveAsTable(table)
+    _replacing(sales, by_month).saveAsTable(table)
 
 
 def save_sales_jdbc(

@@ -47,6 +47,15 @@ def test_store_and_open(spark, sales, tmp_path, by_month):
     assert months == expected
 
 
+def test_months_that_are_gone_do_not_stay(spark, sales, tmp_path, with_conf):
+    with_conf(spark__sql__sources__partitionOverwriteMode="dynamic")
+    path = str(tmp_path / "sales")
+    store.save_sales(sales, path)
+    january = sales.filter("year_month = '2023-01'")
+    store.save_sales(january, path)
+    assert same(store.open_sales(spark, path), january)
+
+
 def test_rows_without_a_month_are_stored_too(spark, sales, tmp_path):
     undated = fact(spark, {"order_id": "u", "order_date": None})
     path = str(tmp_path / "sales")
