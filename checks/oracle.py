@@ -347,6 +347,7 @@ _BODIES = {
     "cleaning_funnel": _FUNNEL,
     "quality_match_counts": "SELECT missing_customers, missing_products, valid_orders FROM q",
     "load_roundtrip": "SELECT * FROM sales_all",
+    "load_roundtrip_valid": "SELECT * FROM f",
     "load_count_check": """
       SELECT count(*) AS rows_loaded, count(*) AS rows_written, true AS matches FROM sales_all""",
     "schema_report": " UNION ALL ".join(

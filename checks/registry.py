@@ -82,10 +82,10 @@ def _feed_profile(spark: SparkSession, folder: str) -> DataFrame:
     return profile.feed_profile(named, order_by=SEQ)
 
 
-def _stored(spark: SparkSession, folder: str) -> DataFrame:
+def _stored(spark: SparkSession, folder: str, valid_only: bool = False) -> DataFrame:
     path = scratch_path(spark, "sales")
     store.save_sales(sales(spark, folder, valid_only=False), path)
-    return store.open_sales(spark, path)
+    return store.open_sales(spark, path, valid_only)
 
 
 def _load_count_check(spark: SparkSession, folder: str) -> DataFrame:
@@ -205,6 +205,7 @@ QUERIES: dict[str, Query] = {
     "quality_match_counts": _quality(quality.match_counters),
     # storing
     "load_roundtrip": _stored,
+    "load_roundtrip_valid": lambda spark, folder: _stored(spark, folder, valid_only=True),
     "load_count_check": _load_count_check,
     "schema_report": lambda spark, folder: profile.schema_report(_stored(spark, folder)),
     "csv_export_roundtrip": _csv_export_roundtrip,

@@ -49,9 +49,10 @@ def run_etl(
 
 @dataclass(frozen=True)
 class BatchRun:
-    """The stored fact and, all lazy, what a run tells about it."""
+    """The stored fact, its valid rows and, all lazy, what a run tells about it."""
 
     sales: DataFrame
+    valid_sales: DataFrame
     details: dict[str, DataFrame] = field(default_factory=dict)
 
 
@@ -95,4 +96,4 @@ def run_batch(
         "schema": profile.schema_report(stored),
         **{name: report(stored) for name, report in BATCH_REPORTS.items()},
     }
-    return BatchRun(stored, details)
+    return BatchRun(stored, store.open_sales(spark, target, valid_only=True), details)

@@ -4,44 +4,58 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ordermill.functions.values import is_present
 from ordermill.plans.sales import in_date_order
 from ordermill.schema import SALES_COLUMNS, SALES_SCHEMA, SALES_TABLE
 
 MONTH_COLUMN = "year_month"
+VALID_COLUMN = "is_valid"
 DATE_FORMAT = "yyyy-MM-dd"
 DATE_WITH_OPTIONAL_TIME = "yyyy-MM-dd[ HH:mm:ss[.SSSSSS]]"
 
 
-def _laid_out(sales: DataFrame, by_month: bool) -> DataFrame:
-    """Rows grouped for writing.
+def _replacing(sales: DataFrame, folders: list[str]) -> DataFrameWriter:
+    """A writer that replaces everything, whatever the session's overwrite mode.
 
-    ``rebalance`` sends a month to few tasks, so folders get few files, but
-    splits a month that is too large for one task. Sorting inside tasks gives
-    each file a narrow date range, which later scans can skip by.
+    ``rebalance`` sends a folder's rows to few tasks, so folders get few files,
+    but splits what is too large for one task. Sorting inside tasks gives each
+    file a narrow date range, which later scans can skip by.
     """
-    if not by_month:
-        return sales
-    return sales.hint("rebalance", MONTH_COLUMN).sortWithinPartitions(
-        MONTH_COLUMN, "order_date", "order_id"
-    )
-
-
-def _replacing(sales: DataFrame, by_month: bool) -> DataFrameWriter:
-    """A writer that replaces all months, whatever the session's overwrite mode."""
-    writer = _laid_out(sales, by_month).write.mode("overwrite").format("parquet")
+    rows = sales
+    if MONTH_COLUMN in folders:
+        rows = sales.hint("rebalance", *folders).sortWithinPartitions(
+            *folders, "order_date", "order_id"
+        )
+    writer = rows.write.mode("overwrite").format("parquet")
     writer = writer.option("partitionOverwriteMode", "static")
-    return writer.partitionBy(MONTH_COLUMN) if by_month else writer
+    return writer.partitionBy(*folders) if folders else writer
 
 
 def save_sales(sales: DataFrame, path: str, by_month: bool = True) -> None:
-    """Replace the Parquet folder at ``path``, with one subfolder per month."""
-    _replacing(sales, by_month).save(path)
+    """Replace the Parquet folder at ``path``.
+
+    Valid and other rows go to folders of their own, by month if asked, so
+    that valid-only reports need not read both names to tell rows apart.
+    """
+    flagged = sales.withColumn(VALID_COLUMN, is_present("customer_name", "product_name"))
+    folders = [VALID_COLUMN, MONTH_COLUMN] if by_month else [VALID_COLUMN]
+    _replacing(flagged, folders).save(path)
+
+
+def open_sales(spark: SparkSession, path: str, valid_only: bool = False) -> DataFrame:
+    """The stored fact, or its valid rows, columns in their fixed order."""
+    schema = T.StructType([*SALES_SCHEMA.fields, T.StructField(VALID_COLUMN, T.BooleanType())])
+    stored = spark.read.schema(schema).parquet(path)
+    if valid_only:
+        stored = stored.filter(VALID_COLUMN)
+    return stored.select(*SALES_COLUMNS)
 
 
 def save_sales_table(sales: DataFrame, table: str = SALES_TABLE, by_month: bool = True) -> None:
-    """Replace a catalog table."""
-    _replacing(sales, by_month).saveAsTable(table)
+    """Replace a catalog table of the twelve columns."""
+    _replacing(sales, [MONTH_COLUMN] if by_month else []).saveAsTable(table)
 
 
 def save_sales_jdbc(
@@ -56,12 +70,6 @@ def save_sales_jdbc(
     sales.write.mode("overwrite").jdbc(url, table, properties=options)
 
 
-def open_sales(spark: SparkSession, path: str) -> DataFrame:
-    """The stored fact, columns in their fixed order."""
-    stored = spark.read.schema(SALES_SCHEMA).parquet(path)
-    return stored.select(*SALES_COLUMNS)
-
-
 def verify_load(loaded: DataFrame, written: DataFrame) -> DataFrame:
     """One row: rows loaded, rows meant to be, and whether they agree."""
     both = loaded.agg(F.count(F.lit(1)).alias("n"), F.lit("loaded").alias("side")).unionByName(

@@ -8,6 +8,7 @@ from checks.registry import QUERIES, raw_feeds, sales
 from ordermill.operators.clean import clean_orders
 from ordermill.operators.dedup import keep_first, keep_first_counting
 from ordermill.operators.match import attach, match_orders
+from ordermill.plans import dashboard
 from ordermill.plans.sales import build_sales_summary
 from ordermill.sources import store
 
@@ -17,7 +18,7 @@ TOP_LISTS = {
     "customer_table_50", "preview_sales",
 }
 WRITERS = {
-    "load_roundtrip", "load_count_check", "schema_report", "csv_export_roundtrip",
+    "load_roundtrip", "load_roundtrip_valid", "load_count_check", "schema_report", "csv_export_roundtrip",
     "csv_ingest_roundtrip", "batch_run_from_csv", "revenue_heatmap_matrix",
 }
 
@@ -59,10 +60,8 @@ def test_valid_only_makes_inner_joins(spark, small):
 
 def test_reports_read_only_their_columns(spark, small, tmp_path):
     path = str(tmp_path / "sales")
-    store.save_sales(sales(spark, small, valid_only=True), path)
-    from ordermill.plans import dashboard
-
-    plan = planned(dashboard.top_cities(store.open_sales(spark, path)))
+    store.save_sales(sales(spark, small, valid_only=False), path)
+    plan = planned(dashboard.top_cities(store.open_sales(spark, path, valid_only=True)))
     assert "ReadSchema: struct<city:string,total_amount:double>" in plan
     assert "IsNotNull(city)" in plan
 

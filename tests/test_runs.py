@@ -4,7 +4,6 @@ from helpers import customers, orders, products, values
 from ordermill import run_batch, run_etl
 from ordermill.__main__ import main
 from ordermill.plans import dashboard
-from ordermill.plans.sales import valid_sales
 
 FEEDS = {
     "customers.csv": """customer_id,customer_name,city,signup_date
@@ -59,14 +58,14 @@ def test_batch_run(spark, folder):
     ]
     assert details["category_revenue_share"] == [("Food", 10503.5, 94.6)]
     assert [row[0] for row in details["monthly_trend"]] == ["2023-01", "2023-02", "2023-03"]
-    assert dashboard.kpis(valid_sales(run.sales)).first().total_orders == 3
+    assert dashboard.kpis(run.valid_sales).first().total_orders == 3
 
 
 def test_command_line(spark, folder, capsys):
     main([*paths(folder), "--flat", "--single-line-cells", "--date-format", "yyyy-MM-dd"])
     shown = capsys.readouterr().out
     assert "top_customers" in shown and "Chi, O." in shown
-    assert not list((folder / "sales").glob("year_month=*"))
+    assert not list((folder / "sales").rglob("year_month=*"))
 
 
 def test_fact_and_quality(spark):

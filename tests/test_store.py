@@ -5,6 +5,7 @@ from helpers import fact, values
 
 from ordermill.operators.filters import apply_filters
 from ordermill.plans.profile import feed_profile, preview_feed, preview_sales, schema_report
+from ordermill.plans.sales import valid_sales
 from ordermill.schema import SALES_COLUMNS, SALES_SCHEMA
 from ordermill.sources import store
 
@@ -17,6 +18,7 @@ def sales(spark):
             {
                 "order_date": datetime(2023, 1 + n % 3, 1 + n % 28),
                 "customer_name": 'quote " and, comma',
+                "product_name": None if n % 7 == 0 else "p",
                 "category": None if n % 5 == 0 else "k",
                 "quantity": float(n),
                 "total_amount": n / 4,
@@ -42,7 +44,8 @@ def test_store_and_open(spark, sales, tmp_path, by_month):
     assert stored.columns == list(SALES_COLUMNS)
     assert values(store.verify_load(stored, sales)) == [(60, 60, True)]
     assert values(store.verify_load(stored, sales.limit(5))) == [(60, 5, False)]
-    months = {p.name for p in (tmp_path / "sales").iterdir() if p.is_dir()}
+    assert same(store.open_sales(spark, path, valid_only=True), valid_sales(sales))
+    months = {p.name for p in (tmp_path / "sales").glob("is_valid=true/year_month=*")}
     expected = {f"year_month=2023-0{m}" for m in (1, 2, 3)} if by_month else set()
     assert months == expected
 
@@ -75,14 +78,15 @@ def test_catalog_table_is_replaced(spark, sales):
 def test_month_filter_prunes_folders(spark, sales, tmp_path):
     path = str(tmp_path / "sales")
     store.save_sales(sales, path)
-    picked = apply_filters(store.open_sales(spark, path), "k", None, ("2023-02", "2023-02"))
+    valid = store.open_sales(spark, path, valid_only=True)
+    picked = apply_filters(valid, "k", None, ("2023-02", "2023-02"))
     plan = picked.select("total_amount")._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan" in line)
     partition_filters = scan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
-    assert "year_month" in partition_filters
+    assert "year_month" in partition_filters and "is_valid" in partition_filters
     assert "EqualTo(category,k)" in scan
     assert scan.split("ReadSchema: ")[1].startswith("struct<category:string,total_amount:double>")
-    assert picked.count() == 16
+    assert picked.count() == sum(n % 3 == 1 and n % 5 != 0 and n % 7 != 0 for n in range(60))
 
 
 def test_export_in_date_order(spark, sales, tmp_path):
