@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import secrets, url_reputation
+from ordermill.llm import packing, secrets, token_files, url_reputation
 from ordermill.llm.common import read_table
 from ordermill.session import scratch_path
 
@@ -17,6 +17,16 @@ def op1_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.findings(documents, ledger))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-files")
+    token_files.write_tokens(read_table(spark, sf_dir, "documents"), folder)
+    return token_files.digest(token_files.read_files(spark, folder))
+
+
 def op8_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return url_reputation.judge(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -24,6 +34,8 @@ def op8_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_ledger": op1_secret_ledger,
+    "op2_packing": op2_packing,
+    "op6_token_files": op6_token_files,
     "op8_url_reputation": op8_url_reputation,
 }
 
