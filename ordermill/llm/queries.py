@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import packing, secrets, token_files, url_reputation
+from ordermill.llm import decontamination, packing, secrets, token_files, url_reputation
 from ordermill.llm.common import read_table
 from ordermill.session import scratch_path
 
@@ -21,6 +21,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find_contamination(documents, read_table(spark, sf_dir, "benchmark"))
+    return decontamination.digest(found)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     token_files.write_tokens(read_table(spark, sf_dir, "documents"), folder)
@@ -35,6 +41,7 @@ def op8_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_packing": op2_packing,
+    "op3_decontamination": op3_decontamination,
     "op6_token_files": op6_token_files,
     "op8_url_reputation": op8_url_reputation,
 }
