@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import decontamination, packing, secrets, token_files, url_reputation
+from ordermill.llm import decontamination, near_duplicates, packing, secrets, token_files, url_reputation
 from ordermill.llm.common import read_table
 from ordermill.session import scratch_path
 
@@ -27,6 +27,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(found)
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     token_files.write_tokens(read_table(spark, sf_dir, "documents"), folder)
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
+    "op4_near_duplicates": op4_near_duplicates,
     "op6_token_files": op6_token_files,
     "op8_url_reputation": op8_url_reputation,
 }
