@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import decontamination, near_duplicates, packing, secrets, token_files, url_reputation
+from ordermill.llm import decontamination, near_duplicates, packing, secrets, token_files, toxicity, url_reputation
 from ordermill.llm.common import read_table
 from ordermill.session import scratch_path
 
@@ -42,6 +42,10 @@ def op8_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_packing": op2_packing,
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_duplicates": op4_near_duplicates,
     "op6_token_files": op6_token_files,
     "op8_url_reputation": op8_url_reputation,
+    "op9_toxicity": op9_toxicity,
 }
 
 _OP8 = r"""
