@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import decontamination, near_duplicates, packing, secrets, token_files, toxicity, url_reputation
+from ordermill.llm import decontamination, near_duplicates, neighbours, packing, secrets, token_files, toxicity, url_reputation
 from ordermill.llm.common import read_table
 from ordermill.session import scratch_path
 
@@ -31,6 +31,10 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     token_files.write_tokens(read_table(spark, sf_dir, "documents"), folder)
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_neighbours": op5_neighbours,
     "op6_token_files": op6_token_files,
     "op8_url_reputation": op8_url_reputation,
     "op9_toxicity": op9_toxicity,
