@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import decontamination, near_duplicates, neighbours, packing, secrets, token_files, toxicity, url_reputation
+from ordermill.llm import decontamination, near_duplicates, neighbours, packing, repeats, secrets, token_files, toxicity, url_reputation
 from ordermill.llm.common import read_table
 from ordermill.session import scratch_path
 
@@ -50,6 +50,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.find_repeats(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_packing": op2_packing,
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_files": op6_token_files,
     "op8_url_reputation": op8_url_reputation,
     "op9_toxicity": op9_toxicity,
+    "op10_repeats": op10_repeats,
 }
 
 _OP8 = r"""
