@@ -184,6 +184,22 @@ def spans_text(spans) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def redact(found: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
+    """The rows with every span of ``spans`` replaced by ``mark``; spans that overlap become one mark."""
+    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+
+    def step(done: Column, span: Column) -> Column:
+        between = F.substring(F.col(text), (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int"))
+        apart = F.struct(span["end"].alias("at"), F.concat(done["out"], between, F.lit(mark)).alias("out"))
+        joined = F.struct(F.greatest(done["at"], span["end"]).alias("at"), done["out"].alias("out"))
+        return F.when((span["start"] >= done["at"]), apart).otherwise(joined)
+
+    def end(done: Column) -> Column:
+        return F.concat(done["out"], F.substring(F.col(text), (done["at"] + 1).cast("int"), F.length(text)))
+
+    return found.withColumn(text, F.when(F.size("spans") > 0, F.aggregate("spans", begin, step, end)).otherwise(F.col(text)))
+
+
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
     """Counts by kind, the hash of the base spans, and all spans as text."""
     base = [kind for kind, *_ in BASE_PATTERNS]

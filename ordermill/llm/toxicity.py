@@ -182,22 +182,31 @@ def distance(toxic: bytes, ordinary: bytes) -> Distance:
     return _distances[toxic, ordinary]
 
 
-def _measure(toxic: bytes, ordinary: bytes):
+def _measure(toxic: bytes, ordinary: bytes, text: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = distance(toxic, ordinary).hits
         for batch in batches:
-            found = [hits(text) for text in batch.column(1).to_pylist()]
-            counts = np.array(found, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts[:, 0].copy()), pa.array(counts[:, 1].copy())], ["key", "hits", "windows"])
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            counts = np.array([hits(x) for x in texts], np.int64).reshape(-1, 2)
+            kept = [i for i, name in enumerate(batch.schema.names) if name != text]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in kept), pa.array(counts[:, 0].copy()), pa.array(counts[:, 1].copy())],
+                [*(batch.schema.names[i] for i in kept), "hits", "windows"],
+            )
 
     return work
 
 
+def with_hits(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows with ``hits`` and ``windows``, which replace columns of that name; a null or wordless text has none of either."""
+    rows = documents.drop("hits", "windows", "_text").withColumn("_text", F.col(text).cast("string"))
+    extra = {name: F.lit(0).cast("bigint") for name in ("hits", "windows")}
+    return rows.mapInArrow(_measure(model.toxic, model.ordinary, "_text"), rows.drop("_text").withColumns(extra).schema)
+
+
 def measure(documents: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Hits and windows of every row; a null or wordless text has none of either."""
-    chosen = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    kind = chosen.schema["key"].dataType.simpleString()
-    return chosen.mapInArrow(_measure(model.toxic, model.ordinary), f"key {kind}, hits bigint, windows bigint")
+    """Key, hits and windows of every row."""
+    return with_hits(documents.select(F.col(key).alias("key"), F.col(text).alias("text")), model).drop("text")
 
 
 def bins() -> tuple[Column, Column]:
@@ -227,18 +236,33 @@ def score_of(hits: int, size: int, counts: tuple[tuple[int, int, int, int], ...]
     return rate
 
 
-def score(measured: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
-    """Score in 0 to 1 and decision of every measured row."""
+def score_column(model: Model) -> Column:
+    """Score in 0 to 1 from ``hits`` and ``windows``."""
     hits, size = bins()
     table = F.create_map(
         *(F.lit(x) for h in range(MOST_HITS + 1) for s in range(MOST_SIZE + 1) for x in (h * 100 + s, score_of(h, s, model.counts)))
     )
-    scored = measured.withColumn("score", table[(hits * 100 + size)])
+    return table[(hits * 100 + size)]
+
+
+def score(measured: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
+    """Score and decision of every measured row."""
+    scored = measured.withColumn("score", score_column(model))
     return scored.select(
         F.col("key").alias(key), held_out("key").alias("held_out"), "score", (F.col("score") >= LIMIT).cast("int").alias("predicted")
     )
 
 
+def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Model, DataFrame]:
+    """A model from the labelled rows that are not held out, and the written measures of every row."""
+    spark = documents.sparkSession
+    model = Model(*train_dictionaries(documents, labels, key, text))
+    path = scratch_path(spark, "toxicity-measures")
+    measure(documents, model, key, text).write.parquet(path)
+    measured = spark.read.parquet(path)
+    return calibrate(measured, labels, model, key), measured
+
+
 def toxicity(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Train on the labelled rows that are not held out, and score every row.
 
@@ -246,9 +270,13 @@ def toxicity(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     documents without. Null keys are not held out. Repeated rows get equal
     scores. Without labels every score is 0.1. Other columns are not used.
     """
-    spark = documents.sparkSession
-    model = Model(*train_dictionaries(documents, labels, key, text))
-    path = scratch_path(spark, "toxicity-measures")
-    measure(documents, model, key, text).write.parquet(path)
-    measured = spark.read.parquet(path)
-    return score(measured, calibrate(measured, labels, model, key), key)
+    model, measured = train(documents, labels, key, text)
+    return score(measured, model, key)
+
+
+def drop_toxic(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose score is under the limit; repeated rows fare alike."""
+    model, _ = train(documents, labels, key, text)
+    columns = documents.columns
+    scored = with_hits(documents.withColumn("_row", F.struct(*columns)).select("_row", F.col(text).alias("text")), model)
+    return scored.where(score_column(model) < LIMIT).select("_row.*")
