@@ -38,7 +38,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     )
     for name, detail in run.details.items():
         print(f"\n{name}")
-        detail.show(100, truncate=False)
+        detail.show(detail.count(), truncate=False)
 
 
 if __name__ == "__main__":

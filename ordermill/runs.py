@@ -76,7 +76,7 @@ def run_batch(
         "products": (products_path, PRODUCT_COLUMNS),
         "orders": (orders_path, ORDER_COLUMNS),
     }
-    size_shuffles(spark, *(path for path, _ in sources.values()))
+    size_shuffles(spark, *(path for path, _ in sources.values()), kind="csv")
     feeds = {
         name: csv_feeds.read_feed(spark, *source, **read_options)
         for name, source in sources.items()

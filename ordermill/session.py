@@ -26,9 +26,12 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
-# Packed columnar files grow by about this factor when shuffled as rows.
-ROW_EXPANSION = 4
+BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+# By this factor input grows when shuffled as rows: packed columnar files grow, text does not.
+ROW_EXPANSION = {"parquet": 4, "csv": 1}
+# The driver keeps a status of every map task for every one of these; partitions
+# grow past the size above instead, and spill.
+MOST_SHUFFLE_PARTITIONS = 50_000
 
 
 def build_session(
@@ -45,9 +48,11 @@ def build_session(
     return builder.getOrCreate()
 
 
-def shuffle_partitions_for(input_bytes: int) -> int:
-    """Shuffle partitions that keep each one near 128 MB for this much input."""
-    return max(1, -(-input_bytes * ROW_EXPANSION // BYTES_PER_SHUFFLE_PARTITION))
+def shuffle_partitions_for(input_bytes: int, kind: str = "parquet") -> int:
+    """Shuffle partitions that keep each one near 256 MB for this much input of a kind,
+    within what a driver can keep track of."""
+    wanted = -(-input_bytes * ROW_EXPANSION[kind] // BYTES_PER_SHUFFLE_PARTITION)
+    return min(max(1, wanted), MOST_SHUFFLE_PARTITIONS)
 
 
 def input_bytes(spark: SparkSession, *paths: str) -> int:
@@ -61,15 +66,16 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
     return total
 
 
-def size_shuffles(spark: SparkSession, *paths: str) -> int:
+def size_shuffles(spark: SparkSession, *paths: str, kind: str = "parquet") -> int:
     """Raise ``spark.sql.shuffle.partitions`` to suit the size of the inputs.
 
     AQE merges partitions that turn out small but does not split plain ones, so
-    the starting number has to fit the data. The setting is never lowered.
+    the starting number has to fit the data. The setting is never lowered, and
+    holds for the session from then on: every later query in it may use it.
     Returns the number in force.
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = shuffle_partitions_for(input_bytes(spark, *paths))
+    wanted = shuffle_partitions_for(input_bytes(spark, *paths), kind)
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return max(wanted, current)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -22,24 +23,52 @@ from ordermill.schema import (
 _BROKEN = "_broken_row"
 
 
-def has_line_breaks_in_cells(spark: SparkSession, path: str | list[str]) -> bool:
-    """Whether some quoted cell of the files spans lines.
+# A whole quoted cell, at a cell's start; quotes elsewhere are plain characters.
+_QUOTED_CELL = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
+
+
+def files_with_line_breaks(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files of a feed in which some quoted cell spans lines.
 
-    A line that opens such a cell holds an odd number of quotes. The scan is
-    split over all tasks and ends at the first hit.
+    Such a cell leaves a line on which it opens and does not close. If all quotes
+    of a file with such a line do not pair up, a quote was never closed: a reader
+    would take the rest of the file for one cell, so this raises and names the file.
+    One split pass; the driver gets only the names of files that have such lines.
     """
     line = F.col("value")
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+    opens = F.regexp_replace(line, _QUOTED_CELL, "$1").rlike('(^|,)"')
+    found = (
+        spark.read.text(path)
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.sum(quotes).alias("quotes"), F.max(opens).alias("opens"))
+        .where("opens")
+        .orderBy("file")
+        .collect()
+    )
+    odd = [unquote(row.file) for row in found if row.quotes % 2]
+    if odd:
+        raise ValueError(f"quote that is never closed in {', '.join(odd[:5])}")
+    return [unquote(row.file) for row in found]
+
+
+def has_line_breaks_in_cells(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether some quoted cell of the files spans lines; raises on a quote never closed."""
+    return bool(files_with_line_breaks(spark, path))
 
 
 def _has_surplus_cell(row_text: Column, width: int) -> Column:
-    """Whether a raw row has more than ``width`` cells, quoted commas aside."""
-    outside = F.regexp_replace(row_text, '"[^"]*"', "")
+    """Whether a raw row has more than ``width`` cells, commas in quoted cells aside."""
+    outside = F.regexp_replace(row_text, _QUOTED_CELL, "$1")
     commas = F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit("")))
     return commas >= width
 
 
+def _same_file(name: str) -> str:
+    """A file's name however its scheme's slashes are written."""
+    return re.sub(r"^([a-z0-9]+):/+", r"\1:/", name)
+
+
 def read_feed(
     spark: SparkSession,
     path: str | list[str],
@@ -55,14 +84,28 @@ def read_feed(
     in the files, files by path.
 
     Cells that span lines keep a file from being split. ``multi_line=None``
-    looks for them first; say ``False`` to spare that pass on feeds known to
-    have none, ``True`` to skip it otherwise. A row with surplus cells stops
-    the read unless ``surplus="drop"`` lets the extra cells go.
+    looks for them first, in a job of its own, reads only the files that have
+    them unsplit, and raises on a quote that is never closed; say ``False`` to
+    spare that pass on feeds known to have none, ``True`` to skip it otherwise.
+    A row with surplus cells stops the read unless ``surplus="drop"`` lets the
+    extra cells go.
     """
     if surplus not in ("fail", "drop"):
         raise ValueError("surplus must be 'fail' or 'drop'")
     if multi_line is None:
-        multi_line = has_line_breaks_in_cells(spark, path)
+        broken = files_with_line_breaks(spark, path)
+        if broken:
+            files = [unquote(name) for name in spark.read.text(path).inputFiles()]
+            whole = [name for name in files if _same_file(name) not in set(map(_same_file, broken))]
+            options = {"columns": columns, "surplus": surplus, "encoding": encoding}
+            feed = read_feed(spark, broken, multi_line=True, **options)
+            if whole:
+                plain = read_feed(spark, whole, multi_line=False, **options)
+                if plain.columns != feed.columns:
+                    raise ValueError(f"files of {path} differ in their header")
+                feed = plain.union(feed)
+            return feed
+        multi_line = False
 
     reader = (
         spark.read.option("header", True)

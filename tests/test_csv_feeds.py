@@ -61,7 +61,10 @@ def test_line_breaks_inside_cells_are_found(spark, write):
 
 
 @pytest.mark.parametrize("multi_line", [True, False])
-@pytest.mark.parametrize("row", ["a,A,X,2022-01-01,extra", 'a,"A,A",X,2022-01-01,', "a,A,X,,x"])
+@pytest.mark.parametrize(
+    "row",
+    ["a,A,X,2022-01-01,extra", 'a,"A,A",X,2022-01-01,', "a,A,X,,x", 'a,5" x, 6" y,X,2022-01-01'],
+)
 def test_surplus_cells_stop_the_read(spark, write, multi_line, row):
     path = write(HEADER + "z,Z,Z,2022-01-01\n" + row + "\n")
     feed = read_customers(spark, path, multi_line=multi_line)
@@ -73,6 +76,32 @@ def test_surplus_cells_stop_the_read(spark, write, multi_line, row):
     assert clean_customers(kept).count() >= 1
 
 
+@pytest.mark.parametrize("row", ['"a,A,X,2022-01-01', 'a,"A,X,2022-01-01', 'a,A,X,"2022-01-01'])
+def test_a_quote_never_closed_is_refused(spark, write, row):
+    write(HEADER + "z,Z,Z,2022-01-01\n", "many/fine.csv")
+    path = write(HEADER + f"z,Z,Z,2022-01-01\n{row}\nb,B,Y,2022-01-02\nc,C,Y,2022-01-03\n", "many/odd one.csv")
+    with pytest.raises(ValueError, match="odd one.csv"):
+        read_customers(spark, path.rsplit("/", 1)[0])
+
+
+def test_a_stray_quote_in_a_cell_is_a_character(spark, write):
+    path = write(HEADER + 'a,5" pipe,X,2022-01-01\nb,B,Y,2022-01-02\n')
+    assert not has_line_breaks_in_cells(spark, path)
+    assert cells(read_customers(spark, path))[0] == ("a", '5" pipe', "X", "2022-01-01")
+
+
+def test_only_files_with_line_breaks_stay_whole(spark, write, with_conf):
+    with_conf(spark__sql__files__maxPartitionBytes="4096", spark__sql__files__openCostInBytes="0")
+    body = "".join(f"c{n:05d},N,X,2022-01-01\n" for n in range(2000))
+    write(HEADER + body, "mixed ü/part-1.csv")
+    path = write(HEADER + 'a,"two\nlines",X,2022-01-01\n' + body, "mixed ü/part-0.csv")
+    feed = read_customers(spark, path.rsplit("/", 1)[0])
+    assert feed.rdd.getNumPartitions() > 10
+    found = cells(feed)
+    assert len(found) == 4001 and found[0] == ("a", "two\nlines", "X", "2022-01-01")
+    assert found[1:] == found[1:2001] * 2
+
+
 def test_header_only_and_byte_order_mark(spark, write):
     assert read_customers(spark, write(HEADER)).count() == 0
     marked = write("﻿" + HEADER + "a,A,X,2022-01-01\n", "bom.csv")

@@ -73,6 +73,25 @@ def test_money_sum_beyond_cents_and_at_infinity(spark):
     assert values(many.agg(money_sum("x"))) == [(1.8e17,)]
 
 
+def test_no_total_overflows(spark):
+    many = spark.range(11_000_000).select(F.lit(9.0e11).alias("x"))
+    assert values(many.agg(money_sum("x"))) == [(9.9e18,)]
+    assert values(amounts(spark, [2.0**63, 2.0**63, 2.0**62]).agg(money_sum("x"))) == [(2.5 * 2.0**63,)]
+    assert values(amounts(spark, [1e300, 1.0]).agg(money_sum("x"))) == [(1e300,)]
+    assert values(amounts(spark, [-math.inf, 1e20]).agg(money_sum("x"))) == [(-math.inf,)]
+    assert values(amounts(spark, [-1.25, -0.5, 1e13 + 0.25]).agg(money_sum("x"))) == [(1e13 - 1.5,)]
+
+
+def test_unit_sum_does_not_depend_on_order(spark):
+    chance = random.Random(9)
+    cells = [round(chance.uniform(0, 100), 3) for _ in range(4000)]
+    totals = set()
+    for parts in (1, 3, 7, 16):
+        chance.shuffle(cells)
+        totals.add(values(amounts(spark, cells).repartition(parts).agg(unit_sum("x")))[0][0])
+    assert totals == {float(sum(Decimal(str(c)) for c in cells))}
+
+
 def test_line_amount(spark):
     frame = spark.createDataFrame(
         [(2.0, 1.005), (3.0, None), (math.inf, 0.0), (math.inf, 2.0)], "q double, p double"

@@ -6,7 +6,10 @@ from ordermill.session import input_bytes, scratch_path, shuffle_partitions_for,
 def test_shuffle_partitions_follow_the_input():
     assert shuffle_partitions_for(0) == 1
     assert shuffle_partitions_for(1) == 1
-    assert shuffle_partitions_for(10 * 2**40) == 10 * 2**40 * 4 // (128 * 2**20)
+    assert shuffle_partitions_for(2**30) == 16
+    assert shuffle_partitions_for(2**30, "csv") == 4
+    assert shuffle_partitions_for(2**40) == 16_384
+    assert shuffle_partitions_for(100 * 10**12) == shuffle_partitions_for(100 * 10**12, "csv") == 50_000
 
 
 def test_input_bytes(spark, small):
