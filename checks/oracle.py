@@ -225,6 +225,11 @@ _TYPES = (
     ("total_amount", "double"),
 )
 
+_SCHEMA = " UNION ALL ".join(
+    f"SELECT {position} AS position, '{name}' AS column_name, '{kind}' AS data_type"
+    for position, (name, kind) in enumerate(_TYPES, start=1)
+)
+
 _BODIES = {
     "feed_profile": """
       SELECT 'customers' AS feed, count(*) AS row_count, 4 AS column_count FROM customer_feed
@@ -350,10 +355,34 @@ _BODIES = {
     "load_roundtrip_valid": "SELECT * FROM f",
     "load_count_check": """
       SELECT count(*) AS rows_loaded, count(*) AS rows_written, true AS matches FROM sales_all""",
-    "schema_report": " UNION ALL ".join(
-        f"SELECT {position} AS position, '{name}' AS column_name, '{kind}' AS data_type"
-        for position, (name, kind) in enumerate(_TYPES, start=1)
-    ),
+    "schema_report": _SCHEMA,
+    "catalog_table": "SELECT * FROM sales_all",
+    "catalog_table_schema": _SCHEMA,
+    "sales_date_positions": """
+      SELECT order_id, row_number() OVER (ORDER BY order_date, order_id) AS position FROM f""",
+    "monthly_revenue_positions": """
+      SELECT year_month, row_number() OVER (ORDER BY year_month) AS position
+      FROM (SELECT DISTINCT year_month FROM f)""",
+    "product_table_positions": f"""
+      SELECT product_id, product_name, category, row_number() OVER (
+        ORDER BY revenue DESC, product_id, product_name, category) AS position
+      FROM ({_grouped("f", PRODUCT, f"{MONEY} AS revenue")})""",
+    "top_customers_display": f"""
+      SELECT rank, customer_id AS "ID", customer_name AS "Name", city AS "City",
+             '₦' || format('{{:,.2f}}', total_amount) AS "Total Spent"
+      FROM ({_ranked("sales_all", CUSTOMER, f"{MONEY} AS total_amount", "total_amount", 5)})""",
+    "best_products_display": f"""
+      SELECT rank, product_id AS "ID", product_name AS "Product", category AS "Category",
+             units_sold AS "Units", '₦' || format('{{:,.2f}}', revenue) AS "Revenue"
+      FROM ({_ranked("sales_all", PRODUCT, f"{UNITS} AS units_sold, {MONEY} AS revenue", "units_sold", 5)})""",
+    "product_table_display": f"""
+      SELECT product_id, product_name, category, units_sold, orders,
+             '₦' || format('{{:,.2f}}', revenue) AS revenue
+      FROM ({_grouped("f", PRODUCT, f"{UNITS} AS units_sold, count(order_id) AS orders, {MONEY} AS revenue")})""",
+    "csv_export_odd_names": """
+      SELECT * REPLACE (CASE length(order_id) % 5 WHEN 0 THEN '' WHEN 1 THEN '  ' || customer_name || ' '
+        WHEN 2 THEN customer_name || chr(10) || 'said "so", twice' WHEN 3 THEN customer_name END AS customer_name)
+      FROM f""",
     "csv_export_roundtrip": "SELECT * FROM f",
     "csv_ingest_roundtrip": "SELECT * FROM good_orders",
     "batch_run_from_csv": "SELECT * FROM sales_all",

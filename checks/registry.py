@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from ordermill.operators.clean import (
     ORDERS,
@@ -20,8 +22,10 @@ from ordermill.operators.match import match_counts
 from ordermill.runs import run_batch
 from ordermill.plans import batch, dashboard, profile, quality
 from ordermill.plans.present import (
+    BEST_PRODUCT_LABELS,
     CATEGORY_SHARE_LABELS,
     CUSTOMER_TABLE_LABELS,
+    TOP_CUSTOMER_LABELS,
     present,
 )
 from ordermill.plans.sales import build_sales_summary, in_date_order, merged_orders
@@ -89,7 +93,45 @@ def _stored(spark: SparkSession, folder: str, valid_only: bool = False) -> DataF
 
 
 def _load_count_check(spark: SparkSession, folder: str) -> DataFrame:
-    return store.verify_load(_stored(spark, folder), sales(spark, folder, valid_only=False))
+    orders = clean_orders(raw_feeds(spark, folder)[2], SEQ)
+    return store.verify_load(_stored(spark, folder), orders.agg(F.count("*")))
+
+
+def _stored_schema(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "sales")
+    store.save_sales(sales(spark, folder, valid_only=False), path)
+    return profile.schema_report(store.stored_columns(spark, path))
+
+
+def _catalog_table(spark: SparkSession, folder: str) -> DataFrame:
+    name = f"sales_summary_{uuid.uuid4().hex}"
+    store.save_sales_table(sales(spark, folder, valid_only=False), name)
+    return spark.table(name)
+
+
+def _positions(frame: DataFrame, *keys: str) -> DataFrame:
+    """The keys of a sorted frame with the place at which each row really comes out."""
+    spark, path = frame.sparkSession, scratch_path(frame.sparkSession, "positions")
+    place = F.monotonically_increasing_id()
+    frame.select(*keys, place.alias("place")).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("part", F.shiftright("place", 33))
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("part").count()
+    bases = parts.select("part", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("base"))
+    within = F.col("place") - F.shiftleft("part", 33)
+    return rows.join(bases, "part").select(*keys, (F.col("base") + within + 1).alias("position"))
+
+
+def _odd_names(spark: SparkSession, folder: str) -> DataFrame:
+    """An export whose names are empty, padded, or hold line breaks and quotes, read back."""
+    name, turn = F.col("customer_name"), F.length("order_id") % 5
+    odd = (
+        F.when(turn == 0, "").when(turn == 1, F.concat(F.lit("  "), name, F.lit(" ")))
+        .when(turn == 2, F.concat(name, F.lit('\nsaid "so", twice'))).when(turn == 3, name)
+    )
+    path = scratch_path(spark, "export")
+    store.export_csv(sales(spark, folder, valid_only=True).withColumn("customer_name", odd), path)
+    return store.read_csv_export(spark, path)
 
 
 def _csv_export_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -157,7 +199,13 @@ QUERIES: dict[str, Query] = {
     # batch reports
     "total_revenue": _batch(batch.total_revenue),
     "top_customers_5": _batch(batch.top_customers),
+    "top_customers_display": _batch(
+        lambda s: present(batch.top_customers(s), TOP_CUSTOMER_LABELS, ("total_amount",))
+    ),
     "best_products_5": _batch(batch.best_products),
+    "best_products_display": _batch(
+        lambda s: present(batch.best_products(s), BEST_PRODUCT_LABELS, ("revenue",))
+    ),
     "category_revenue_share": _batch(batch.category_revenue_share),
     "category_share_display": _batch(
         lambda s: present(batch.category_revenue_share(s), CATEGORY_SHARE_LABELS, ("revenue",))
@@ -186,6 +234,9 @@ QUERIES: dict[str, Query] = {
     "top_products_revenue": _board(dashboard.top_products_by_revenue),
     "product_bubble": _board(dashboard.product_bubble),
     "product_table": _board(dashboard.product_table),
+    "product_table_display": _board(
+        lambda s: present(dashboard.product_table(s), money=("revenue",))
+    ),
     "top_customers_10": _board(dashboard.top_spenders),
     "orders_per_customer": _board(dashboard.orders_per_customer),
     "orders_histogram": _board(dashboard.orders_histogram),
@@ -198,6 +249,16 @@ QUERIES: dict[str, Query] = {
         )
     ),
     "currency_labels": _board(_currency_labels),
+    # order of rows
+    "sales_date_positions": lambda spark, folder: _positions(
+        in_date_order(sales(spark, folder, True)), "order_id"
+    ),
+    "monthly_revenue_positions": _board(
+        lambda s: _positions(dashboard.monthly_revenue(s), "year_month")
+    ),
+    "product_table_positions": _board(
+        lambda s: _positions(dashboard.product_table(s), "product_id", "product_name", "category")
+    ),
     # quality
     "quality_report": _quality(lambda q: q),
     "removed_deltas": _quality(quality.removed_deltas),
@@ -207,7 +268,10 @@ QUERIES: dict[str, Query] = {
     "load_roundtrip": _stored,
     "load_roundtrip_valid": lambda spark, folder: _stored(spark, folder, valid_only=True),
     "load_count_check": _load_count_check,
-    "schema_report": lambda spark, folder: profile.schema_report(_stored(spark, folder)),
+    "schema_report": _stored_schema,
+    "catalog_table": _catalog_table,
+    "catalog_table_schema": lambda spark, folder: profile.schema_report(_catalog_table(spark, folder)),
+    "csv_export_odd_names": _odd_names,
     "csv_export_roundtrip": _csv_export_roundtrip,
     "csv_ingest_roundtrip": _csv_ingest_roundtrip,
     "batch_run_from_csv": _batch_run_from_csv,

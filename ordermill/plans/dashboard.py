@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from ordermill.functions.money import money_mean, money_sum, percent_of, round_half_even, unit_sum
 from ordermill.operators.rank import ranked, top_k, top_k_ascending
 from ordermill.plans.batch import AMOUNT, CUSTOMER_KEYS, PRODUCT_KEYS, by_group
-from ordermill.session import checkpointed
 
 NAMED_PRODUCT_KEYS = ("product_name", "category")
 HISTOGRAM_BINS = 20
+# A century; wider tables serve no reader.
+MOST_MONTHS = 1200
 
 
 def _orders() -> Column:
@@ -85,12 +86,18 @@ def heatmap_long(sales: DataFrame) -> DataFrame:
     return by_group(sales, ("year_month", "category"), revenue=money_sum(AMOUNT))
 
 
+def _months(sales: DataFrame) -> DataFrame:
+    """One row: the months that occur in a category, in order."""
+    month = F.when(F.col("category").isNotNull(), F.col("year_month"))
+    return sales.agg(F.array_sort(F.collect_set(month)).alias("months"))
+
+
 def heatmap_dense(sales: DataFrame) -> DataFrame:
     """Revenue per category and month, 0.0 where they do not occur together.
 
-    Each category keeps its months in a map and is spread over the months of
-    all categories. Beyond the first aggregate there is one row per category
-    with one entry per month, so nothing here grows with the sales.
+    Each category keeps its months in a map and is spread over the list of all
+    months, a single value that the calendar bounds. Work and rows grow with
+    categories times months and are spread over tasks.
     """
     cell = F.struct("year_month", "revenue")
     per_category = (
@@ -98,12 +105,8 @@ def heatmap_dense(sales: DataFrame) -> DataFrame:
         .groupBy("category")
         .agg(F.map_from_entries(F.collect_list(cell)).alias("revenue_of"))
     )
-    months = F.array_distinct(
-        F.flatten(F.collect_list(F.map_keys("revenue_of")).over(Window.partitionBy()))
-    )
     return (
-        per_category.withColumn("months", months)
-        .select("category", "revenue_of", F.explode("months").alias("year_month"))
+        per_category.select("category", "revenue_of", F.explode(_months(sales).scalar()).alias("year_month"))
         .select(
             "category",
             "year_month",
@@ -116,16 +119,15 @@ def heatmap_dense(sales: DataFrame) -> DataFrame:
 def heatmap_matrix(sales: DataFrame, months: list[str] | None = None) -> DataFrame:
     """Revenue with categories as rows and months as columns, 0.0 where empty.
 
-    Columns must be known to plan the pivot: without ``months`` the distinct
-    months are fetched first, one short text per month. The long form, a row
-    per category and month, is checkpointed so that the sales are read once.
+    Columns must be known to plan the pivot: without ``months`` their list is
+    fetched first, in a job that reads the month column alone. More than
+    ``MOST_MONTHS`` are refused.
     """
-    cells = heatmap_long(sales)
     if months is None:
-        cells = checkpointed(cells)
-        found = cells.select("year_month").distinct().orderBy("year_month")
-        months = [row.year_month for row in found.collect()]
-    wide = cells.groupBy("category").pivot("year_month", months).agg(F.sum("revenue"))
+        months = _months(sales).first().months
+    if len(months) > MOST_MONTHS:
+        raise ValueError(f"{len(months)} months are too many for columns; pass the months to show")
+    wide = heatmap_long(sales).groupBy("category").pivot("year_month", months).agg(F.sum("revenue"))
     return wide.fillna(0.0).orderBy("category")
 
 

@@ -25,6 +25,15 @@ def feed_profile(feeds: Mapping[str, DataFrame], order_by: str = SOURCE_ORDINAL)
     return reduce(DataFrame.unionByName, (shape(*item) for item in feeds.items()))
 
 
+def counted_profile(
+    counts: DataFrame, feeds: Mapping[str, DataFrame], order_by: str = SOURCE_ORDINAL
+) -> DataFrame:
+    """As :func:`feed_profile`, from cleaning counts that are there already."""
+    widths = {name: sum(c != order_by for c in feed.columns) for name, feed in feeds.items()}
+    width = F.coalesce(*(F.when(F.col("feed") == name, F.lit(n)) for name, n in widths.items()))
+    return counts.select("feed", F.col("raw_rows").alias("row_count"), width.alias("column_count"))
+
+
 def preview(frame: DataFrame, n: int, *order_by: str) -> DataFrame:
     """The first ``n`` rows in the given order."""
     return frame.orderBy(*order_by).limit(n)

@@ -16,12 +16,10 @@ from ordermill.operators.clean import (
     ORDERS,
     PRODUCTS,
     FeedRules,
-    clean_customers,
-    clean_products,
     typed_feed,
 )
 from ordermill.operators.dedup import keep_first_counting
-from ordermill.operators.match import match_orders
+from ordermill.operators.match import attach
 from ordermill.schema import DATE_FORMATS, SOURCE_ORDINAL
 
 # The stages of the cleaning funnel and the counter behind each.
@@ -52,15 +50,26 @@ def _raw_rows() -> Column:
 
 
 def _audited(
-    raw: DataFrame, rules: FeedRules, order_by: str, date_formats: Sequence[str]
+    raw: DataFrame,
+    rules: FeedRules,
+    order_by: str,
+    date_formats: Sequence[str],
+    carried: Sequence[str] = (),
 ) -> DataFrame:
-    """First rows of each key with their copies and the outcome of the rules."""
-    firsts = keep_first_counting(
-        typed_feed(raw, rules, order_by, date_formats), rules.key, order_by
-    )
-    return firsts.withColumn("is_complete", rules.complete()).withColumn(
-        "is_clean", F.col("is_complete") & rules.acceptable()
+    """First rows of each key: copies, outcome of the rules, and ``carried`` columns.
+
+    The rules are judged before the deduplication, which does not change what they
+    say of a row, so that only flags and carried cells go through the shuffle.
+    """
+    typed = typed_feed(raw, rules, order_by, date_formats)
+    judged = typed.select(
+        rules.key,
+        order_by,
+        *carried,
+        rules.complete().alias("is_complete"),
+        (rules.complete() & rules.acceptable()).alias("is_clean"),
     )
+    return keep_first_counting(judged, rules.key, order_by)
 
 
 def cleaning_counts(
@@ -102,34 +111,42 @@ def quality_report(
 ) -> DataFrame:
     """The nine counters as one row.
 
-    The order feed is read once: its deduplicated rows, clean or not, go
-    through both joins with their flag, and one aggregate takes all counts.
+    Every feed is read once: the deduplicated rows of a lookup serve its counts
+    and the join (one shuffle, used twice), and those of the orders, clean or
+    not, go through both joins with their flag to one aggregate.
     """
 
-    def dimension_counts(raw: DataFrame, rules: FeedRules) -> DataFrame:
-        return _audited(raw, rules, order_by, date_formats).agg(
+    def dimension_counts(audited: DataFrame, rules: FeedRules) -> DataFrame:
+        return audited.agg(
             _raw_rows().alias(f"raw_{rules.feed}"),
             F.count_if("is_clean").alias(f"clean_{rules.feed}"),
         )
 
-    audited = _audited(orders, ORDERS, order_by, date_formats)
-    matched = match_orders(
-        audited.select("customer_id", "product_id", "copies", "is_clean"),
-        clean_customers(customers, order_by, date_formats),
-        clean_products(products, order_by),
-        null_keys_match,
-    )
+    def lookup(audited: DataFrame, rules: FeedRules, flag: str) -> DataFrame:
+        # Asking for the copies keeps both uses of the aggregate the same.
+        found = audited.where(F.col("is_clean") & (F.col("copies") > 0))
+        return found.select(rules.key, F.lit(True).alias(flag))
+
+    sides = {
+        rules.feed: _audited(raw, rules, order_by, date_formats)
+        for raw, rules in ((customers, CUSTOMERS), (products, PRODUCTS))
+    }
+    audited = _audited(orders, ORDERS, order_by, date_formats, ("customer_id", "product_id"))
+    matched = audited.select("customer_id", "product_id", "copies", "is_clean")
+    for rules, flag in ((CUSTOMERS, "has_customer"), (PRODUCTS, "has_product")):
+        matched = attach(matched, lookup(sides[rules.feed], rules, flag), rules.key, null_keys_match)
     clean = F.col("is_clean")
+    with_customer, with_product = F.col("has_customer").isNotNull(), F.col("has_product").isNotNull()
     order_counts = matched.agg(
         _raw_rows().alias("raw_orders"),
         F.count_if(clean).alias("clean_orders"),
-        F.count_if(clean & F.col("customer_name").isNull()).alias("missing_customers"),
-        F.count_if(clean & F.col("product_name").isNull()).alias("missing_products"),
-        F.count_if(clean & F.col("is_valid")).alias("valid_orders"),
+        F.count_if(clean & ~with_customer).alias("missing_customers"),
+        F.count_if(clean & ~with_product).alias("missing_products"),
+        F.count_if(clean & with_customer & with_product).alias("valid_orders"),
     )
     parts = (
-        dimension_counts(customers, CUSTOMERS)
-        .unionByName(dimension_counts(products, PRODUCTS), allowMissingColumns=True)
+        dimension_counts(sides["customers"], CUSTOMERS)
+        .unionByName(dimension_counts(sides["products"], PRODUCTS), allowMissingColumns=True)
         .unionByName(order_counts, allowMissingColumns=True)
     )
     return parts.agg(*(F.max(name).alias(name) for name in QUALITY_COUNTERS))

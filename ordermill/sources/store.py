@@ -9,10 +9,14 @@ from pyspark.sql import types as T
 from ordermill.functions.values import is_present
 from ordermill.plans.sales import in_date_order
 from ordermill.schema import SALES_COLUMNS, SALES_SCHEMA, SALES_TABLE
+from ordermill.sources.csv_feeds import has_line_breaks_in_cells
 
 MONTH_COLUMN = "year_month"
 VALID_COLUMN = "is_valid"
 DATE_FORMAT = "yyyy-MM-dd"
+DATE_AND_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+# What the reader puts for a quoted empty cell, so that it differs from a missing one.
+_EMPTY_MARK = "\u0001"
 DATE_WITH_OPTIONAL_TIME = "yyyy-MM-dd[ HH:mm:ss[.SSSSSS]]"
 
 
@@ -53,9 +57,32 @@ def open_sales(spark: SparkSession, path: str, valid_only: bool = False) -> Data
     return stored.select(*SALES_COLUMNS)
 
 
-def save_sales_table(sales: DataFrame, table: str = SALES_TABLE, by_month: bool = True) -> None:
-    """Replace a catalog table of the twelve columns."""
-    _replacing(sales, [MONTH_COLUMN] if by_month else []).saveAsTable(table)
+def stored_columns(spark: SparkSession, path: str) -> DataFrame:
+    """The stored fact as its files and folders have it, no schema imposed.
+
+    The fixed columns that are there come first, in their order, then whatever
+    else is; the validity folder is not a column of the fact. Of folders only the
+    names are known, and they are taken as text.
+    """
+    inference = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(inference)
+    spark.conf.set(inference, "false")
+    try:
+        stored = spark.read.parquet(path)
+    finally:
+        spark.conf.set(inference, before)
+    known = [name for name in SALES_COLUMNS if name in stored.columns]
+    return stored.select(*known, *(c for c in stored.columns if c not in (*known, VALID_COLUMN)))
+
+
+def save_sales_table(sales: DataFrame, table: str = SALES_TABLE) -> None:
+    """Replace a catalog table of the twelve columns, in their order.
+
+    It has no folders per month, as a folder column always comes last; rows are
+    laid out by date instead, so that a month is in few files.
+    """
+    rows = sales.select(*SALES_COLUMNS).repartitionByRange("order_date", "order_id")
+    _replacing(rows.sortWithinPartitions("order_date", "order_id"), []).saveAsTable(table)
 
 
 def save_sales_jdbc(
@@ -70,10 +97,14 @@ def save_sales_jdbc(
     sales.write.mode("overwrite").jdbc(url, table, properties=options)
 
 
-def verify_load(loaded: DataFrame, written: DataFrame) -> DataFrame:
-    """One row: rows loaded, rows meant to be, and whether they agree."""
+def verify_load(loaded: DataFrame, meant: DataFrame) -> DataFrame:
+    """One row: rows loaded, rows meant to be, and whether they agree.
+
+    ``meant`` has one number, such as the count of the clean orders, each of
+    which is a row of the fact; so the fact is not built again to be counted.
+    """
     both = loaded.agg(F.count(F.lit(1)).alias("n"), F.lit("loaded").alias("side")).unionByName(
-        written.agg(F.count(F.lit(1)).alias("n"), F.lit("written").alias("side"))
+        meant.select(F.col(meant.columns[0]).alias("n"), F.lit("written").alias("side"))
     )
     return both.agg(
         F.max(F.when(F.col("side") == "loaded", F.col("n"))).alias("rows_loaded"),
@@ -84,31 +115,49 @@ def verify_load(loaded: DataFrame, written: DataFrame) -> DataFrame:
 def export_csv(sales: DataFrame, path: str, ordered: bool = True) -> None:
     """Replace a folder of CSV files with a header, in UTF-8.
 
-    Files follow each other in date order. Dates at midnight are written
-    without their time.
+    Files follow each other in date order. Dates are written without a time if
+    all of them are at midnight, else all with one; that takes a pass of its own.
+    Cells keep their blanks and line breaks; an empty text is quoted, a missing one is not.
     """
     rows = in_date_order(sales) if ordered else sales
     moment = F.col("order_date")
-    at_midnight = moment == moment.cast("date").cast("timestamp_ntz")
-    shown = F.when(at_midnight, F.date_format(moment, DATE_FORMAT)).otherwise(
-        moment.cast("string")
-    )
+    timed = moment != moment.cast("date").cast("timestamp_ntz")
+    if sales.where(timed).isEmpty():
+        shown = F.date_format(moment, DATE_FORMAT)
+    else:
+        shown = F.date_format(moment, DATE_AND_TIME)
     (
         rows.withColumn("order_date", shown)
         .write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
         .option("encoding", "UTF-8")
+        .option("emptyValue", '""')
+        .option("nullValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
 
-def read_csv_export(spark: SparkSession, path: str) -> DataFrame:
-    """An exported folder with the fact's types."""
-    return (
+def read_csv_export(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """An exported folder with the fact's types.
+
+    ``multi_line=None`` looks for line breaks in cells first; files with them are not split.
+    """
+    if multi_line is None:
+        multi_line = has_line_breaks_in_cells(spark, path)
+    rows = (
         spark.read.schema(SALES_SCHEMA)
         .option("header", True)
         .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("emptyValue", _EMPTY_MARK)
+        .option("nullValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", DATE_WITH_OPTIONAL_TIME)
         .csv(path)
     )
+    texts = [field.name for field in SALES_SCHEMA if isinstance(field.dataType, T.StringType)]
+    return rows.withColumns({n: F.when(F.col(n) == _EMPTY_MARK, "").otherwise(F.col(n)) for n in texts})

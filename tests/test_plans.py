@@ -1,7 +1,9 @@
 """Shape of the physical plans, and behaviour under hot keys."""
 
+import time
+
 import pytest
-from helpers import values
+from helpers import fact, values
 from pyspark.sql import functions as F
 
 from checks.registry import QUERIES, raw_feeds, sales
@@ -19,7 +21,8 @@ TOP_LISTS = {
 }
 WRITERS = {
     "load_roundtrip", "load_roundtrip_valid", "load_count_check", "schema_report", "csv_export_roundtrip",
-    "csv_ingest_roundtrip", "batch_run_from_csv", "revenue_heatmap_matrix",
+    "csv_ingest_roundtrip", "batch_run_from_csv", "catalog_table", "catalog_table_schema", "csv_export_odd_names",
+    "sales_date_positions", "monthly_revenue_positions", "product_table_positions",
 }
 
 
@@ -46,6 +49,34 @@ def test_deduplication_cuts_copies_before_the_shuffle(spark, small):
     assert final < shuffle < partial
 
 
+def test_the_audit_reads_each_feed_once(spark, small, final_plan):
+    from ordermill.plans.quality import quality_report
+
+    plan = final_plan(quality_report(*raw_feeds(spark, small), order_by="seq"))
+    used = plan.split("== Initial Plan ==")[0].splitlines()
+    for key in ("customer_id", "product_id"):
+        shuffles = [line for line in used if f"Exchange hashpartitioning({key}" in line]
+        assert [("ReusedExchange" in line) for line in shuffles].count(False) == 1, shuffles
+        assert len(shuffles) == 2, shuffles
+
+
+def test_dense_heatmap_grows_with_its_cells(spark):
+    months = [f"{1900 + n // 12}-{n % 12 + 1:02d}" for n in range(24)]
+    taken = {}
+    for categories in (1000, 1000, 2000):
+        rows = spark.range(categories * 24).selectExpr(
+            f"concat('c', id % {categories}) AS category",
+            f"array({', '.join(repr(m) for m in months)})[cast(id DIV {categories} AS int)] AS year_month",
+            "1.0D AS total_amount",
+        )
+        begun = time.perf_counter()
+        assert dashboard.heatmap_dense(rows).count() == categories * 24
+        taken[categories] = time.perf_counter() - begun
+    assert taken[2000] < 4 * taken[1000] + 1
+    with pytest.raises(ValueError, match="months"):
+        dashboard.heatmap_matrix(fact(spark), [str(n) for n in range(2000)])
+
+
 def test_filters_wait_for_the_deduplication(spark, small):
     plan = planned(clean_orders(raw_feeds(spark, small)[2], "seq"))
     assert plan.index("> 0.0") < plan.index("WindowGroupLimit")

@@ -50,6 +50,7 @@ def test_batch_run(spark, folder):
     assert details["cleaning_counts"] == [
         ("customers", 5, 2, 3, None), ("products", 3, 2, 1, None), ("orders", 8, 5, 3, 1),
     ]
+    assert details["load_check"] == [(5, 5, True)]
     assert details["match_counts"] == [(5, 1, 1, 3)]
     assert len(details["schema"]) == 12 and len(details["first_sales"]) == 5
     assert details["total_revenue"] == [(3001.0 + 600.0 + 1500.5 + 6002.0,)]
@@ -76,5 +77,8 @@ def test_fact_and_quality(spark):
                ("o3", "x", "p", "1", "2023-01-05")),
         order_by="seq",
     )
-    assert values(sales, "order_id", "total_amount") == [("o1", 2.0), ("o2", 4.0)]
+    assert sorted(values(sales, "order_id", "total_amount")) == [("o1", 2.0), ("o2", 4.0)]
+    for report_of in (dashboard.kpis, dashboard.product_bubble, dashboard.heatmap_long):
+        plan = report_of(sales)._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan
     assert values(report) == [(1, 1, 1, 1, 3, 3, 1, 0, 2)]

@@ -42,8 +42,9 @@ def test_store_and_open(spark, sales, tmp_path, by_month):
     stored = store.open_sales(spark, path)
     assert same(stored, sales)
     assert stored.columns == list(SALES_COLUMNS)
-    assert values(store.verify_load(stored, sales)) == [(60, 60, True)]
-    assert values(store.verify_load(stored, sales.limit(5))) == [(60, 5, False)]
+    meant = spark.createDataFrame([(60,)], "n bigint")
+    assert values(store.verify_load(stored, meant)) == [(60, 60, True)]
+    assert values(store.verify_load(stored, meant.selectExpr("n - 1"))) == [(60, 59, False)]
     assert same(store.open_sales(spark, path, valid_only=True), valid_sales(sales))
     months = {p.name for p in (tmp_path / "sales").glob("is_valid=true/year_month=*")}
     expected = {f"year_month=2023-0{m}" for m in (1, 2, 3)} if by_month else set()
@@ -69,7 +70,8 @@ def test_rows_without_a_month_are_stored_too(spark, sales, tmp_path):
 def test_catalog_table_is_replaced(spark, sales):
     store.save_sales_table(sales.limit(3), "sales_summary_test")
     store.save_sales_table(sales, "sales_summary_test")
-    table = spark.table("sales_summary_test").select(*SALES_COLUMNS)
+    table = spark.table("sales_summary_test")
+    assert table.columns == list(SALES_COLUMNS)
     assert same(table, sales)
     assert values(schema_report(table), "column_name") == [(c,) for c in SALES_COLUMNS]
     spark.sql("DROP TABLE sales_summary_test")
@@ -111,6 +113,27 @@ def test_export_keeps_times(spark, tmp_path):
     assert same(store.read_csv_export(spark, path), sales)
 
 
+def test_export_keeps_cells(spark, tmp_path):
+    names = ["  padded  ", "two\nlines", "", None, 'said "so", twice', " ", "a\\b"]
+    sales = fact(spark, *({"customer_name": n, "product_name": n} for n in names))
+    path = str(tmp_path / "export")
+    store.export_csv(sales, path)
+    assert same(store.read_csv_export(spark, path), sales)
+    texts = "".join(p.read_text(encoding="utf-8") for p in (tmp_path / "export").glob("part-*.csv"))
+    assert " 00:00" not in texts
+
+
+def test_a_wrong_store_shows(spark, sales, tmp_path):
+    path = str(tmp_path / "sales")
+    wrong = sales.withColumn("quantity", sales.quantity.cast("string")).withColumn("extra", sales.price)
+    store.save_sales(wrong, path)
+    report = {row[1]: row[2] for row in values(schema_report(store.stored_columns(spark, path)))}
+    assert report["quantity"] == "string" and "extra" in report and len(report) == 13
+    store.save_sales(sales, path)
+    right = values(schema_report(store.stored_columns(spark, path)), "column_name", "data_type")
+    assert right == [(f.name, f.dataType.simpleString()) for f in SALES_SCHEMA]
+
+
 def test_relational_sink_bounds_its_connections(sales, monkeypatch):
     calls = []
     monkeypatch.setattr(
