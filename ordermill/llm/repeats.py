@@ -193,24 +193,27 @@ class _Tables:
         return self.spark.table(name)
 
 
-def _refine(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _refine(rows: DataFrame, tables: _Tables) -> tuple[DataFrame, DataFrame]:
     """Of ``rows`` in shared buckets: those repeated as a whole, and one of each kind where kinds differ.
 
     The second frame has the rows to look at more closely; ``needed`` says that
-    the row itself is undecided, else it stands for others that are decided.
+    the row itself is undecided, else it stands for others that are decided. Counts
+    are written before they are joined: Spark can then cut a hot key's join partition.
     """
     kinds = rows.groupBy("core", "whole").agg(
         F.count("*").alias("rows"), F.min(F.struct("rid", "start", "n", "lead", "needed")).alias("one")
     )
+    kinds = tables.keep(kinds)
     repeated = rows.join(kinds.where("rows > 1").select("core", "whole"), ["core", "whole"]).where("needed").select("rid", "start", "n")
     mixed = kinds.groupBy("core").agg(F.count("*").alias("kinds"), F.max((F.col("rows") == 1) & F.col("one.needed")).alias("open")).where("kinds > 1 and open")
     closer = kinds.join(mixed.select("core"), "core").select("one.*", "rows")
     return repeated, closer.withColumn("needed", F.col("needed") & (F.col("rows") == 1)).drop("rows")
 
 
-def _shared(rows: DataFrame, column: str) -> DataFrame:
+def _shared(rows: DataFrame, column: str, tables: _Tables) -> DataFrame:
     """The rows whose ``column`` is not alone."""
-    return rows.join(rows.groupBy(column).agg(F.count("*").alias("rows")).where("rows > 1").select(column), column)
+    shared = tables.keep(rows.groupBy(column).agg(F.count("*").alias("rows")).where("rows > 1").select(column))
+    return rows.join(shared, column)
 
 
 def repeated_starts(texts: DataFrame, tables: _Tables, window: int = WINDOW, core: int = CORE) -> DataFrame:
@@ -222,13 +225,13 @@ def repeated_starts(texts: DataFrame, tables: _Tables, window: int = WINDOW, cor
         return chosen.join(lists, "rid").select("rid", "text", F.col("asked").cast(ASKED))
 
     runs = chosen.mapInArrow(_runs(window, core), RUN)
-    runs = tables.keep(_shared(runs, "core").withColumn("needed", F.lit(True)))
-    first, closer = _refine(runs)
+    runs = tables.keep(_shared(runs, "core", tables).withColumn("needed", F.lit(True)))
+    first, closer = _refine(runs, tables)
     blocks = asking(closer).mapInArrow(_blocks(window), f"{RUN}, needed boolean")
-    blocks = tables.keep(_shared(blocks, "core"))
-    second, closer = _refine(blocks)
+    blocks = tables.keep(_shared(blocks, "core", tables))
+    second, closer = _refine(blocks, tables)
     single = asking(closer).mapInArrow(_windows(window), "rid bigint, start bigint, whole bigint, needed boolean")
-    third = _shared(tables.keep(single), "whole").where("needed").select("rid", "start", F.lit(1).cast("bigint").alias("n"))
+    third = _shared(tables.keep(single), "whole", tables).where("needed").select("rid", "start", F.lit(1).cast("bigint").alias("n"))
     return first.union(second).union(third)
 
 
