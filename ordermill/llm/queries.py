@@ -104,4 +104,56 @@ SELECT page_id, named.host, path, rule,
 FROM named LEFT JOIN posterior ON named.host = posterior.host
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_url_reputation": _OP8}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP3 = rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), patterns AS (
+  SELECT DISTINCT item, least(len(words), 10) AS n, array_to_string(words[k:k + 9], ' ') AS pattern
+  FROM (SELECT item, words, unnest(generate_series(1, greatest(1, len(words) - 9))) AS k FROM items WHERE len(words) > 0)
+), places AS (
+  SELECT doc_id, n, k, array_to_string(words[k:k + n - 1], ' ') AS pattern
+  FROM (SELECT doc_id, words, n, unnest(generate_series(1, len(words) - n + 1)) AS k
+        FROM docs, (SELECT DISTINCT n FROM patterns) WHERE len(words) >= n)
+), matches AS (SELECT doc_id, k, n, item FROM places JOIN patterns USING (n, pattern)),
+hits AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(k, k + n - 1)) AS word FROM matches) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM matches) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+_OP4 = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS words FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[k:k + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(1, len(words) - 4))) AS k FROM docs WHERE len(words) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM docs
+  UNION
+  SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+), least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN sizes USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": _OP3,
+    "op4_near_duplicates": _OP4,
+    "op8_url_reputation": _OP8,
+}
