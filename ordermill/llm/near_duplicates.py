@@ -6,10 +6,10 @@ keys, each of two minhashes, are computed per node; a table key joins one of
 the first with one of the second, so 32 minhashes make 64 tables of four. Sets
 linked at 0.85 miss all tables with a probability below 0.0001.
 
-In a bucket not all pairs are tried: all members are compared with one anchor,
-then those still apart with another, and only pairs that are in different
-components by then are compared in full, in blocks. So a bucket of copies costs
-as many pairs as it has members, and no pair that shares a bucket is lost.
+Nodes joined by shared buckets form a cluster; its full sets are compared block
+against block: intersections of a block are one product of 0/1 matrices in its task,
+and what leaves the task is a spanning forest of the links found, never pairs. So no
+pair that shares a bucket is lost, and rows grow with the members of a group.
 """
 
 from __future__ import annotations
@@ -30,10 +30,8 @@ SIMILARITY_PERCENT = 85
 # Short keys in each of the two collections, and minhashes in a short key.
 KEYS, DEPTH = 8, 2
 SHORTS = [f"h{i}" for i in range(2 * KEYS)]
-# Rows of a bucket that are compared at once in the last round.
-BLOCK = 2048
-# Of the 16 short keys, linked sets share 11.6 on average, fewer than 4 with a probability of 0.000003.
-LEAST_SHARED = 4
+# Sets of a cluster on each side of a comparison, and shingles that one matrix holds.
+BLOCK, COLUMNS = 1024, 4096
 
 _FOLD = np.uint64(0xD6E8FEB86659FD93)
 _seeds = np.random.Generator(np.random.PCG64(977)).integers(0, 2**64, (2, 2 * KEYS * DEPTH), np.uint64)
@@ -76,6 +74,19 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
+class _Scratch:
+    """Written tables in the shared folder: a lost executor costs no recomputation of what is in them."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.root, self.count = spark, scratch_path(spark, "near-duplicates"), 0
+
+    def keep(self, frame: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.root}/{self.count}"
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+
 def short_keys(shingles: np.ndarray) -> np.ndarray:
     """The 16 short keys of a set."""
     least = np.full(len(_ODD), ~np.uint64(0))
@@ -122,19 +133,6 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-class _Scratch:
-    """Written tables in the shared folder: a lost executor costs no recomputation of what is in them."""
-
-    def __init__(self, spark: SparkSession) -> None:
-        self.spark, self.root, self.count = spark, scratch_path(spark, "near-duplicates"), 0
-
-    def keep(self, frame: DataFrame) -> DataFrame:
-        self.count += 1
-        path = f"{self.root}/{self.count}"
-        frame.write.parquet(path)
-        return self.spark.read.schema(frame.schema).parquet(path)
-
-
 def signatures(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, size and digest of its set (null if empty), and the short keys."""
     chosen = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
@@ -143,15 +141,16 @@ def signatures(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     return chosen.mapInArrow(_signatures, f"key {kind}, n_shingles bigint, set_id binary, {shorts}")
 
 
-def table_keys(nodes: DataFrame) -> DataFrame:
+def table_keys(nodes: DataFrame, scratch: _Scratch) -> DataFrame:
     """Rows (bucket, set_id) of all buckets that can have two members.
 
     A table key is shared only if both its short keys are, so short keys that one
-    node alone has are dropped before they are paired.
+    node alone has are dropped before they are paired. Counts are written before
+    they are joined: Spark can then cut a hot key's join partition.
     """
     short = F.posexplode(F.array(*SHORTS)).alias("slot", "short")
     single = nodes.select("set_id", short)
-    shared = single.groupBy("slot", "short").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    shared = scratch.keep(single.groupBy("slot", "short").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
     live = (
         single.join(shared, ["slot", "short"])
         .groupBy("set_id")
@@ -162,89 +161,95 @@ def table_keys(nodes: DataFrame) -> DataFrame:
     return paired.select(F.xxhash64("a.slot", "a.short", "b.slot", "b.short").alias("bucket"), "set_id")
 
 
-def star_pairs(buckets: DataFrame, round_number: int) -> DataFrame:
-    """Every member of a bucket with the bucket's anchor, if their labels differ.
-
-    The anchor is the member with the least hash under this round's seed, the same
-    for all buckets, so the members of a group meet few different anchors.
-    """
-    ranked = buckets.withColumn("rank", F.struct(F.xxhash64("set_id", F.lit(round_number)).alias("order"), "set_id", "label"))
-    anchors = ranked.groupBy("bucket").agg(F.min("rank").alias("anchor"))
-    pairs = ranked.join(anchors, "bucket").where(F.col("label") != F.col("anchor.label"))
-    return pairs.select(F.col("anchor.set_id").alias("a"), F.col("set_id").alias("b")).distinct()
+def star_pairs(buckets: DataFrame, scratch: _Scratch) -> DataFrame:
+    """Every member of a bucket with the bucket's least member: as many pairs as it takes to join them."""
+    anchors = scratch.keep(buckets.groupBy("bucket").agg(F.min("set_id").alias("a")))
+    return buckets.join(anchors, "bucket").where("a != set_id").select("a", F.col("set_id").alias("b")).distinct()
+
+
+def linked(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Which sets of two lists are similar enough, as a matrix."""
+    sides = [left, right]
+    sizes = [np.array([len(x) for x in side]) for side in sides]
+    values, column, copies = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(left) + len(right)), np.concatenate(sizes))
+    # What is in one set only is in no intersection.
+    keep = copies[column] > 1
+    number = np.cumsum(copies > 1) - 1
+    row, column = row[keep], number[column[keep]]
+    shared = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        part = slice(*np.searchsorted(column, [at, at + COLUMNS]))
+        has = np.zeros((len(left) + len(right), COLUMNS), np.float32)
+        has[row[part], column[part] - at] = 1
+        shared += has[: len(left)] @ has[len(left) :].T
+    total = sizes[0][:, None] + sizes[1][None, :]
+    return shared * (100 + SIMILARITY_PERCENT) >= total * SIMILARITY_PERCENT
+
+
+def forest(links: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest, as (root, member), of a symmetric matrix of links."""
+    left, edges = np.ones(len(links), bool), []
+    for root in range(len(links)):
+        if not left[root]:
+            continue
+        left[root] = False
+        front = np.array([root])
+        while len(front):
+            front = np.flatnonzero(links[front].any(axis=0) & left)
+            left[front] = False
+            edges += [(root, member) for member in front.tolist()]
+    return edges
 
 
 def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one (bucket, i, j) that differ in label, are near in size and share short keys."""
+    """A spanning forest of the links of each (cluster, i, j), whose rows come together."""
     held: list[pa.RecordBatch] = []
 
-    def compare(block: pa.Table) -> pa.RecordBatch | None:
-        labels = np.array(block.column("label").to_pylist(), object)
-        sides, i, j = (np.asarray(block.column(c)) for c in ("side", "i", "j"))
-        sizes = np.asarray(block.column("n_shingles"))
-        shorts = np.stack([np.asarray(block.column(c)) for c in SHORTS], axis=1)
-        left = np.flatnonzero(sides == i)
-        right = left if i[0] == j[0] else np.flatnonzero(sides == j)
-        found = []
-        for row in left:
-            others = right[right > row] if i[0] == j[0] else right
-            small, large = np.minimum(sizes[others], sizes[row]), np.maximum(sizes[others], sizes[row])
-            others = others[(100 * small >= SIMILARITY_PERCENT * large) & (labels[others] != labels[row])]
-            others = others[(shorts[others] == shorts[row]).sum(axis=1) >= LEAST_SHARED]
-            found += [(row, other) for other in others]
-        if not found:
-            return None
+    def compare() -> pa.RecordBatch:
+        block = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
         ids = block.column("set_id").to_pylist()
-        pairs = [sorted((ids[a], ids[b])) for a, b in found]
-        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], ["a", "b"])
-
-    def finished() -> Iterator[pa.RecordBatch]:
-        if held:
-            out = compare(pa.Table.from_batches(held).combine_chunks())
-            held.clear()
-            if out is not None:
-                yield out
+        sets = [np.asarray(x.values) for x in block.column("shingles").combine_chunks()]
+        side, i, j = (np.asarray(block.column(c)) for c in ("side", "i", "j"))
+        if i[0] == j[0]:
+            links = linked(sets, sets)
+        else:
+            first, second = np.flatnonzero(side == i), np.flatnonzero(side == j)
+            across = linked([sets[k] for k in first], [sets[k] for k in second])
+            links = np.zeros((len(sets), len(sets)), bool)
+            links[np.ix_(first, second)] = across
+            links |= links.T
+        edges = forest(links)
+        return pa.RecordBatch.from_arrays([pa.array([ids[e[k]] for e in edges], pa.binary()) for k in (0, 1)], ["a", "b"])
 
     last = None
     for batch in batches:
-        place = np.stack([np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("bucket", "i", "j")], axis=1)
-        if not len(place):
-            continue
-        cuts = [0, *(np.flatnonzero((place[1:] != place[:-1]).any(axis=1)) + 1).tolist(), len(place)]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if last is not None and (place[a] != last).any():
-                yield from finished()
-            last = place[a]
-            held.append(batch.slice(a, b - a))
-    yield from finished()
-
-
-def apart_pairs(buckets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """All pairs in a bucket with different labels that can be linked, found block against block."""
-    mixed = (
-        buckets.groupBy("bucket")
-        .agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low != high")
-        .select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
-    rows = buckets.join(mixed, "bucket").join(nodes.select("set_id", "n_shingles", *SHORTS), "set_id")
-    rows = rows.withColumn("side", F.pmod(F.xxhash64("set_id", F.lit(99)), "blocks").cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = rows.select("*", other).withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")})
-    rows = rows.select("bucket", "i", "j", "side", "set_id", "label", "n_shingles", *SHORTS)
-    return (
-        rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "set_id")
-        .mapInArrow(_compare_blocks, "a binary, b binary").distinct()
-    )
-
-
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    right = pairs.join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("sb")), "b")
-    both = right.join(sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("sa")), "a")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    counted = both.select("a", "b", shared.alias("shared"), (F.size("sa") + F.size("sb")).alias("total"))
-    return counted.where(F.col("shared") * (100 + SIMILARITY_PERCENT) >= F.col("total") * SIMILARITY_PERCENT).select("a", "b")
+        clusters = batch.column(batch.schema.get_field_index("cluster")).to_pylist()
+        places = list(zip(clusters, *(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("i", "j")), strict=True))
+        begin = 0
+        for row in range(len(places) + 1):
+            if row == len(places) or places[row] != last:
+                if row > begin:
+                    held.append(batch.slice(begin, row - begin))
+                if row < len(places):
+                    if held:
+                        yield compare()
+                    begin, last = row, places[row]
+    if held:
+        yield compare()
+
+
+def block_links(clusters: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that join all that is linked within clusters; ``clusters`` has (set_id, cluster)."""
+    blocks = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = clusters.join(blocks, "cluster").withColumn("side", F.pmod(F.xxhash64("set_id"), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("cluster", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "set_id")
+    rows = rows.join(sets, "set_id").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    return rows.mapInArrow(_compare_blocks, "a binary, b binary")
 
 
 def components(links: DataFrame, scratch: _Scratch) -> DataFrame:
@@ -265,11 +270,6 @@ def components(links: DataFrame, scratch: _Scratch) -> DataFrame:
         labels = step.select("u", "label")
 
 
-def with_labels(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    own = buckets.select("bucket", "set_id").join(labels, "set_id", "left")
-    return own.select("bucket", "set_id", F.coalesce("label", "set_id").alias("label"))
-
-
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, ``n_shingles``, ``component_id`` (least key reachable by links) and ``kept``.
 
@@ -286,9 +286,9 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
         F.min("key").alias("least_key"), F.max("n_shingles").alias("n_shingles"), *(F.max(name).alias(name) for name in SHORTS)
     )
     nodes = scratch.keep(nodes)
-    keys = table_keys(nodes)
-    buckets = keys.join(keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "bucket")
-    buckets = scratch.keep(buckets)
+    keys = scratch.keep(table_keys(nodes, scratch))
+    shared = scratch.keep(keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"))
+    buckets = scratch.keep(keys.join(shared, "bucket"))
 
     # Full sets of the nodes in some bucket, each from one row that has it.
     wanted = buckets.select("set_id").distinct().join(nodes.select("set_id", F.col("least_key").alias("key")), "set_id")
@@ -298,13 +298,8 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     sets = chosen.mapInArrow(_full_sets, "set_id binary, shingles array<bigint>")
     sets = scratch.keep(sets)
 
-    links, labels = None, spark.createDataFrame([], "set_id binary, label binary")
-    for round_number in range(3):
-        named = with_labels(buckets, labels)
-        pairs = star_pairs(named, round_number) if round_number < 2 else apart_pairs(named, nodes)
-        found = scratch.keep(confirm(pairs, sets))
-        links = found if links is None else links.union(found)
-        labels = components(links, scratch)
+    clusters = components(star_pairs(buckets, scratch), scratch).withColumnRenamed("label", "cluster")
+    labels = components(scratch.keep(block_links(clusters, sets)), scratch)
 
     rooted = nodes.select("set_id", "least_key").join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     least = rooted.groupBy("label").agg(F.min("least_key").alias("component_id"))
