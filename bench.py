@@ -17,6 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from ordermill.operators.filters import apply_filters, filter_domains  # noqa: E402
 from ordermill.plans import batch, dashboard, quality  # noqa: E402
 from ordermill.plans.sales import build_sales_summary  # noqa: E402
+from ordermill.runs import run_batch  # noqa: E402
 from ordermill.session import build_session, scratch_path, size_shuffles  # noqa: E402
 from ordermill.sources import star_tables, store  # noqa: E402
 from ordermill.sources.star_tables import SEQ  # noqa: E402
@@ -92,6 +93,11 @@ def main() -> None:
             lambda: quality.quality_report(*feeds, order_by=SEQ).collect()
         ),
     }
+    # The path from CSV files to the stored and checked fact; the files are written untimed.
+    folders = [scratch_path(spark, f"bench-{name}") for name in ("customers", "products", "orders", "csv-sales")]
+    for feed, folder in zip(feeds, folders, strict=False):
+        feed.orderBy(SEQ).drop(SEQ).write.option("header", True).csv(folder)
+    from_csv = fastest(lambda: run_batch(spark, *folders))
     everything = store.open_sales(spark, path)
     stored_valid = store.open_sales(spark, path, valid_only=True)
     valid = apply_filters(stored_valid)
@@ -101,6 +107,9 @@ def main() -> None:
     for name, report in DASHBOARD_REPORTS.items():
         timings[name] = fastest(lambda report=report: report(valid).collect())
     timings["kpis_one_year"] = fastest(lambda: dashboard.kpis(year).collect())
+    for folder in (path, *folders):
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
     spark.stop()
 
     print(
@@ -109,7 +118,8 @@ def main() -> None:
                 "metric": "fact build plus all reports",
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
-                "queries": timings,
+                # The CSV run is timed beside the metric, which stays what it was.
+                "queries": {**timings, "batch_run_from_csv": from_csv},
                 "sf": SF_DIR.rsplit("/sf", 1)[-1],
                 "cpus": CPUS,
                 "runs": RUNS,
