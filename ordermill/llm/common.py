@@ -9,8 +9,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+# Arrow's own pool keeps what it once took, which adds up in workers that are used again.
+pa.set_memory_pool(pa.system_memory_pool())
+
 # Texts are handed to numpy in groups of about this many bytes; a longer text is a group of its own.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

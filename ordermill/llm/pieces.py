@@ -19,7 +19,7 @@ from tokenizers import Tokenizer  # noqa: E402
 from ordermill.llm.common import span_hashes  # noqa: E402
 
 # Entries that the table of known pieces may reach; then it is begun anew.
-MOST_PIECES = 1 << 21
+MOST_PIECES = 1 << 20
 
 # Fixed values. SAFE: tab, newline, printable ASCII, Latin-1 letters, and both cases of oe.
 SAFE = "\t\n -~À-ÖØ-öø-ÿŒœ"

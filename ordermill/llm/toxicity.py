@@ -36,7 +36,7 @@ MOST_HITS, MOST_SIZE = 12, 16
 MATCH_COST, MOST_LETTERS = 2, 9
 PRIOR = 2.0
 # Words whose distance a worker remembers.
-KNOWN_WORDS = 1 << 20
+KNOWN_WORDS = 1 << 18
 
 _CLEAN = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 
@@ -182,36 +182,37 @@ def distance(toxic: bytes, ordinary: bytes) -> Distance:
     return _distances[toxic, ordinary]
 
 
-def _measure(toxic: bytes, ordinary: bytes, text: str):
+def _measure(toxic: bytes, ordinary: bytes, text: str, names: tuple[str, str]):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = distance(toxic, ordinary).hits
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             counts = np.array([hits(x) for x in texts], np.int64).reshape(-1, 2)
-            kept = [i for i, name in enumerate(batch.schema.names) if name != text]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in kept), pa.array(counts[:, 0].copy()), pa.array(counts[:, 1].copy())],
-                [*(batch.schema.names[i] for i in kept), "hits", "windows"],
+                [*batch.columns, pa.array(counts[:, 0].copy()), pa.array(counts[:, 1].copy())], [*batch.schema.names, *names]
             )
 
     return work
 
 
-def with_hits(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows with ``hits`` and ``windows``, which replace columns of that name; a null or wordless text has none of either."""
-    rows = documents.drop("hits", "windows", "_text").withColumn("_text", F.col(text).cast("string"))
-    extra = {name: F.lit(0).cast("bigint") for name in ("hits", "windows")}
-    return rows.mapInArrow(_measure(model.toxic, model.ordinary, "_text"), rows.drop("_text").withColumns(extra).schema)
+def with_hits(
+    documents: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("hits", "windows")
+) -> DataFrame:
+    """The rows with hits and windows under ``names``, which replace columns of that name; a null or wordless text has none."""
+    rows = documents.drop(*names)
+    schema = rows.withColumns({name: F.lit(0).cast("bigint") for name in names}).schema
+    return rows.mapInArrow(_measure(model.toxic, model.ordinary, text, names), schema)
 
 
 def measure(documents: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key, hits and windows of every row."""
-    return with_hits(documents.select(F.col(key).alias("key"), F.col(text).alias("text")), model).drop("text")
+    chosen = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    return with_hits(chosen, model).drop("text")
 
 
-def bins() -> tuple[Column, Column]:
-    hits = F.least("hits", F.lit(MOST_HITS)).cast("int")
-    size = F.least(F.ceil(F.log2(F.col("windows") + 1)), F.lit(MOST_SIZE)).cast("int")
+def bins(hits: str = "hits", windows: str = "windows") -> tuple[Column, Column]:
+    hits = F.least(hits, F.lit(MOST_HITS)).cast("int")
+    size = F.least(F.ceil(F.log2(F.col(windows) + 1)), F.lit(MOST_SIZE)).cast("int")
     return hits, size
 
 
@@ -236,9 +237,9 @@ def score_of(hits: int, size: int, counts: tuple[tuple[int, int, int, int], ...]
     return rate
 
 
-def score_column(model: Model) -> Column:
-    """Score in 0 to 1 from ``hits`` and ``windows``."""
-    hits, size = bins()
+def score_column(model: Model, *names: str) -> Column:
+    """Score in 0 to 1 from the columns of hits and windows."""
+    hits, size = bins(*names)
     table = F.create_map(
         *(F.lit(x) for h in range(MOST_HITS + 1) for s in range(MOST_SIZE + 1) for x in (h * 100 + s, score_of(h, s, model.counts)))
     )
@@ -277,6 +278,5 @@ def toxicity(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 def drop_toxic(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows, with all their columns, whose score is under the limit; repeated rows fare alike."""
     model, _ = train(documents, labels, key, text)
-    columns = documents.columns
-    scored = with_hits(documents.withColumn("_row", F.struct(*columns)).select("_row", F.col(text).alias("text")), model)
-    return scored.where(score_column(model) < LIMIT).select("_row.*")
+    names = ("_hits", "_windows")
+    return with_hits(documents, model, text, names).where(score_column(model, *names) < LIMIT).select(*documents.columns)
