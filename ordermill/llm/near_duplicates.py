@@ -162,9 +162,16 @@ def table_keys(nodes: DataFrame, scratch: _Scratch) -> DataFrame:
 
 
 def star_pairs(buckets: DataFrame, scratch: _Scratch) -> DataFrame:
-    """Every member of a bucket with the bucket's least member: as many pairs as it takes to join them."""
+    """Pairs (a, b) that join the members of every bucket, about as many as there are nodes.
+
+    A node is joined to the least of its buckets' least members, and that one to
+    the others; these are few, as the members of a group share them.
+    """
     anchors = scratch.keep(buckets.groupBy("bucket").agg(F.min("set_id").alias("a")))
-    return buckets.join(anchors, "bucket").where("a != set_id").select("a", F.col("set_id").alias("b")).distinct()
+    pairs = scratch.keep(buckets.join(anchors, "bucket").where("a != set_id").select("a", F.col("set_id").alias("b")).distinct())
+    least = scratch.keep(pairs.groupBy("b").agg(F.min("a").alias("least")))
+    others = pairs.join(least, "b").where("a != least").select(F.col("least").alias("a"), F.col("a").alias("b")).distinct()
+    return least.select(F.col("least").alias("a"), "b").union(others)
 
 
 def linked(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
