@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import decontamination, near_duplicates, neighbours, packing, repeats, secrets, token_files, toxicity, url_reputation
+from ordermill.llm import decontamination, lm_score, near_duplicates, neighbours, packing, repeats, secrets, token_files, toxicity, url_reputation
 from ordermill.llm.common import read_table
 from ordermill.session import scratch_path
 
@@ -41,6 +41,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.read_files(spark, folder))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_score(read_table(spark, sf_dir, "documents"))
+
+
 def op8_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return url_reputation.judge(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_neighbours": op5_neighbours,
     "op6_token_files": op6_token_files,
+    "op7_lm_score": op7_lm_score,
     "op8_url_reputation": op8_url_reputation,
     "op9_toxicity": op9_toxicity,
     "op10_repeats": op10_repeats,
