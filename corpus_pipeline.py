@@ -14,6 +14,9 @@ from ordermill.llm import decontamination, near_duplicates, packing, secrets, to
 from ordermill.llm.common import read_table
 from ordermill.session import scratch_path
 
+# Least share of common five-word shingles for two documents to be near duplicates.
+SIMILARITY_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under the limit."""
@@ -25,7 +28,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Documents without words are no group and stay.
     """
-    judged = near_duplicates.near_duplicates(docs)
+    judged = near_duplicates.near_duplicates(docs, similarity=SIMILARITY_PERCENT)
     kept = judged.where("kept").select(F.col("doc_id").alias("_id"))
     return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi").distinct()
 

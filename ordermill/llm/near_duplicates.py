@@ -1,10 +1,11 @@
 """Near-duplicate groups by MinHash with tensored banding, links confirmed on full sets.
 
 A text's set is its distinct five-word shingles. Equal sets are merged first, so
-what follows works on different sets ("nodes"). Two collections of eight short
+what follows works on different sets ("nodes"). Two collections of short
 keys, each of two minhashes, are computed per node; a table key joins one of
-the first with one of the second, so 32 minhashes make 64 tables of four. Sets
-linked at 0.85 miss all tables with a probability below 0.0001.
+the first with one of the second. Each has as many keys as it takes for a link to
+miss all tables with a probability below 0.0001: eight at 0.85 (32 minhashes
+make 64 tables of four), ten at 0.8.
 
 Nodes joined by shared buckets form a cluster; its full sets are compared block
 against block: intersections of a block are one product of 0/1 matrices in its task,
@@ -26,22 +27,32 @@ from ordermill.llm.common import mix, span_hashes, text_groups
 from ordermill.session import scratch_path
 
 SHINGLE = 5
+# Least similarity of a link, unless a caller says otherwise.
 SIMILARITY_PERCENT = 85
-# Short keys in each of the two collections, and minhashes in a short key.
-KEYS, DEPTH = 8, 2
-SHORTS = [f"h{i}" for i in range(2 * KEYS)]
+# Minhashes in a short key, and the bound of the probability that a link misses all tables.
+DEPTH, MISSED = 2, 1e-4
 # Sets of a cluster on each side of a comparison, and shingles that one matrix holds.
 BLOCK, COLUMNS = 1024, 4096
 
 _FOLD = np.uint64(0xD6E8FEB86659FD93)
-_seeds = np.random.Generator(np.random.PCG64(977)).integers(0, 2**64, (2, 2 * KEYS * DEPTH), np.uint64)
-_ODD, _XOR = _seeds[0] | np.uint64(1), _seeds[1]
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
 
+def collection_size(similarity: int) -> int:
+    """Short keys in each of the two collections, so that links of so many percent are found."""
+    keys = 1
+    while 1 - (1 - (1 - (similarity / 100) ** DEPTH) ** keys) ** 2 > MISSED:
+        keys += 1
+    return keys
+
+
+def short_names(keys: int) -> list[str]:
+    return [f"h{i}" for i in range(2 * keys)]
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a group of texts, and each text's first word."""
     data = _LOWER[data]
@@ -87,36 +98,42 @@ class _Scratch:
         return self.spark.read.schema(frame.schema).parquet(path)
 
 
-def short_keys(shingles: np.ndarray) -> np.ndarray:
-    """The 16 short keys of a set."""
-    least = np.full(len(_ODD), ~np.uint64(0))
+def short_keys(shingles: np.ndarray, odd: np.ndarray, xor: np.ndarray) -> np.ndarray:
+    """The short keys of a set, from minhashes with the given multipliers and masks."""
+    least = np.full(len(odd), ~np.uint64(0))
     for at in range(0, len(shingles), 1 << 15):
         part = shingles[at : at + (1 << 15)]
-        np.minimum(least, ((part[None, :] ^ _XOR[:, None]) * _ODD[:, None]).min(axis=1), out=least)
-    keys = np.zeros(2 * KEYS, np.uint64)
+        np.minimum(least, ((part[None, :] ^ xor[:, None]) * odd[:, None]).min(axis=1), out=least)
+    short = np.zeros(len(odd) // DEPTH, np.uint64)
     for i in range(DEPTH):
-        keys = mix(keys * _FOLD + least[i::DEPTH])
-    return keys.view(np.int64)
-
-
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for first, last, data, offsets in text_groups(batch.column(1)):
-            sizes, ids, keys = [], [], []
-            for shingles in shingle_sets(data, offsets):
-                sizes.append(len(shingles))
-                ids.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
-                keys.append(short_keys(shingles))
-            shorts = np.array(keys).reshape(-1, 2 * KEYS).T
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(first, last - first),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(ids, pa.binary()),
-                    *(pa.array(np.ascontiguousarray(column)) for column in shorts),
-                ],
-                ["key", "n_shingles", "set_id", *SHORTS],
-            )
+        short = mix(short * _FOLD + least[i::DEPTH])
+    return short.view(np.int64)
+
+
+def _signatures(keys: int):
+    seeds = np.random.Generator(np.random.PCG64(977)).integers(0, 2**64, (2, 2 * keys * DEPTH), np.uint64)
+    odd, xor = seeds[0] | np.uint64(1), seeds[1]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, data, offsets in text_groups(batch.column(1)):
+                sizes, ids, short = [], [], []
+                for shingles in shingle_sets(data, offsets):
+                    sizes.append(len(shingles))
+                    ids.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
+                    short.append(short_keys(shingles, odd, xor))
+                shorts = np.array(short).reshape(-1, 2 * keys).T
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(first, last - first),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(ids, pa.binary()),
+                        *(pa.array(np.ascontiguousarray(column)) for column in shorts),
+                    ],
+                    ["key", "n_shingles", "set_id", *short_names(keys)],
+                )
+
+    return work
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,29 +150,29 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def signatures(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def signatures(documents: DataFrame, key: str, text: str, keys: int) -> DataFrame:
     """Per row: key, size and digest of its set (null if empty), and the short keys."""
     chosen = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     kind = chosen.schema["key"].dataType.simpleString()
-    shorts = ", ".join(f"{name} bigint" for name in SHORTS)
-    return chosen.mapInArrow(_signatures, f"key {kind}, n_shingles bigint, set_id binary, {shorts}")
+    shorts = ", ".join(f"{name} bigint" for name in short_names(keys))
+    return chosen.mapInArrow(_signatures(keys), f"key {kind}, n_shingles bigint, set_id binary, {shorts}")
 
 
-def table_keys(nodes: DataFrame, scratch: _Scratch) -> DataFrame:
+def table_keys(nodes: DataFrame, scratch: _Scratch, keys: int) -> DataFrame:
     """Rows (bucket, set_id) of all buckets that can have two members.
 
     A table key is shared only if both its short keys are, so short keys that one
     node alone has are dropped before they are paired. Counts are written before
     they are joined: Spark can then cut a hot key's join partition.
     """
-    short = F.posexplode(F.array(*SHORTS)).alias("slot", "short")
+    short = F.posexplode(F.array(*short_names(keys))).alias("slot", "short")
     single = nodes.select("set_id", short)
     shared = scratch.keep(single.groupBy("slot", "short").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
     live = (
         single.join(shared, ["slot", "short"])
         .groupBy("set_id")
-        .agg(F.collect_list(F.when(F.col("slot") < KEYS, F.struct("slot", "short"))).alias("left"),
-             F.collect_list(F.when(F.col("slot") >= KEYS, F.struct("slot", "short"))).alias("right"))
+        .agg(F.collect_list(F.when(F.col("slot") < keys, F.struct("slot", "short"))).alias("left"),
+             F.collect_list(F.when(F.col("slot") >= keys, F.struct("slot", "short"))).alias("right"))
     )
     paired = live.select("set_id", F.explode("left").alias("a"), "right").select("set_id", "a", F.explode("right").alias("b"))
     return paired.select(F.xxhash64("a.slot", "a.short", "b.slot", "b.short").alias("bucket"), "set_id")
@@ -174,7 +191,7 @@ def star_pairs(buckets: DataFrame, scratch: _Scratch) -> DataFrame:
     return least.select(F.col("least").alias("a"), "b").union(others)
 
 
-def linked(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+def linked(left: list[np.ndarray], right: list[np.ndarray], similarity: int = SIMILARITY_PERCENT) -> np.ndarray:
     """Which sets of two lists are similar enough, as a matrix."""
     sides = [left, right]
     sizes = [np.array([len(x) for x in side]) for side in sides]
@@ -193,7 +210,7 @@ def linked(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
         has[row[part], column[part] - at] = 1
         shared += has[: len(left)] @ has[len(left) :].T
     total = sizes[0][:, None] + sizes[1][None, :]
-    return shared * (100 + SIMILARITY_PERCENT) >= total * SIMILARITY_PERCENT
+    return shared * (100 + similarity) >= total * similarity
 
 
 def forest(links: np.ndarray) -> list[tuple[int, int]]:
@@ -211,7 +228,7 @@ def forest(links: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare_blocks(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.RecordBatch]:
     """A spanning forest of the links of each (cluster, i, j), whose rows come together."""
     held: list[pa.RecordBatch] = []
 
@@ -222,10 +239,10 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         sets = [np.asarray(x.values) for x in block.column("shingles").combine_chunks()]
         side, i, j = (np.asarray(block.column(c)) for c in ("side", "i", "j"))
         if i[0] == j[0]:
-            links = linked(sets, sets)
+            links = linked(sets, sets, similarity)
         else:
             first, second = np.flatnonzero(side == i), np.flatnonzero(side == j)
-            across = linked([sets[k] for k in first], [sets[k] for k in second])
+            across = linked([sets[k] for k in first], [sets[k] for k in second], similarity)
             links = np.zeros((len(sets), len(sets)), bool)
             links[np.ix_(first, second)] = across
             links |= links.T
@@ -249,14 +266,14 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield compare()
 
 
-def block_links(clusters: DataFrame, sets: DataFrame) -> DataFrame:
+def block_links(clusters: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Links (a, b) that join all that is linked within clusters; ``clusters`` has (set_id, cluster)."""
     blocks = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     rows = clusters.join(blocks, "cluster").withColumn("side", F.pmod(F.xxhash64("set_id"), "blocks").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("cluster", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "set_id")
     rows = rows.join(sets, "set_id").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    return rows.mapInArrow(_compare_blocks, "a binary, b binary")
+    return rows.mapInArrow(lambda batches: _compare_blocks(batches, similarity), "a binary, b binary")
 
 
 def components(links: DataFrame, scratch: _Scratch) -> DataFrame:
@@ -277,9 +294,12 @@ def components(links: DataFrame, scratch: _Scratch) -> DataFrame:
         labels = step.select("u", "label")
 
 
-def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", similarity: int = SIMILARITY_PERCENT
+) -> DataFrame:
     """Per row: key, ``n_shingles``, ``component_id`` (least key reachable by links) and ``kept``.
 
+    Sets are linked from a Jaccard similarity of ``similarity`` percent on.
     A null, empty or blank text has no shingles and stands alone; of several such
     rows each keeps its own key. Repeated rows are linked like any equal texts; a
     row is kept if its key is the component's. Null keys are never a component's
@@ -287,13 +307,14 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     """
     spark = documents.sparkSession
     scratch = _Scratch(spark)
-    signed = scratch.keep(signatures(documents, key, text))
+    per_side = collection_size(similarity)
+    signed = scratch.keep(signatures(documents, key, text, per_side))
     some = signed.where("set_id is not null")
     nodes = some.groupBy("set_id").agg(
-        F.min("key").alias("least_key"), F.max("n_shingles").alias("n_shingles"), *(F.max(name).alias(name) for name in SHORTS)
+        F.min("key").alias("least_key"), F.max("n_shingles").alias("n_shingles"), *(F.max(name).alias(name) for name in short_names(per_side))
     )
     nodes = scratch.keep(nodes)
-    keys = scratch.keep(table_keys(nodes, scratch))
+    keys = scratch.keep(table_keys(nodes, scratch, per_side))
     shared = scratch.keep(keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"))
     buckets = scratch.keep(keys.join(shared, "bucket"))
 
@@ -306,7 +327,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     sets = scratch.keep(sets)
 
     clusters = components(star_pairs(buckets, scratch), scratch).withColumnRenamed("label", "cluster")
-    labels = components(scratch.keep(block_links(clusters, sets)), scratch)
+    labels = components(scratch.keep(block_links(clusters, sets, similarity)), scratch)
 
     rooted = nodes.select("set_id", "least_key").join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     least = rooted.groupBy("label").agg(F.min("least_key").alias("component_id"))

@@ -28,7 +28,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"), similarity=85)
 
 
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

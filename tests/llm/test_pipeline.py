@@ -68,3 +68,17 @@ def test_empty_tables(spark, table, tmp_path):
     nothing = spark.createDataFrame([], COLUMNS)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, folder).count() == 0
+
+
+def test_near_duplicates_of_eighty_percent_are_dropped(spark, table):
+    rnd = random.Random(31)
+    base = words(rnd, 104, "abcdeghio").split()
+    near, far = list(base), list(base)
+    # Two words away from each other change 10 of 100 shingles (90 of 110 are common), three 15 (85 of 115).
+    for at in (20, 60):
+        near[at] = f"changed{at}"
+    for at in (10, 40, 80):
+        far[at] = f"other{at}"
+    rows = [(1, " ".join(base), "en", "s", 1), (2, " ".join(near), "en", "s", 1), (3, " ".join(far), "en", "s", 1)]
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, spark.createDataFrame(rows, COLUMNS), table[0])
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
