@@ -43,9 +43,9 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Matcher:
-    """An automaton over the windows of ``items`` (pairs of id and text)."""
+    """An automaton over the windows of ``items`` (pairs of id and text); a null id is never among the items found."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW) -> None:
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW) -> None:
         self.letters: dict[bytes, str] = {}
         owners: dict[str, set[str]] = {}
         for item, text in items:
@@ -54,7 +54,9 @@ class Matcher:
                 continue
             line = "".join([self._letter(word) for word in words])
             for i in range(max(1, len(line) - window + 1)):
-                owners.setdefault(line[i : i + window], set()).add(item)
+                who = owners.setdefault(line[i : i + window], set())
+                if item is not None:
+                    who.add(item)
         self.automaton = ahocorasick.Automaton()
         for pattern, who in owners.items():
             self.automaton.add_word(pattern, (len(pattern), who))
@@ -105,7 +107,7 @@ def text_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]
 _matchers: dict[str, Matcher] = {}
 
 
-def _matcher(name: str, items: list[tuple[str, str | None]], window: int) -> Matcher:
+def _matcher(name: str, items: list[tuple[str | None, str | None]], window: int) -> Matcher:
     """This worker's automaton for a block; only the last one is kept."""
     if name not in _matchers:
         _matchers.clear()
@@ -113,7 +115,7 @@ def _matcher(name: str, items: list[tuple[str, str | None]], window: int) -> Mat
     return _matchers[name]
 
 
-def _scan(items: list[tuple[str, str | None]], window: int, name: str):
+def _scan(items: list[tuple[str | None, str | None]], window: int, name: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _matcher(name, items, window)
         kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
@@ -139,14 +141,14 @@ def _scan(items: list[tuple[str, str | None]], window: int, name: str):
     return work
 
 
-def benchmark_blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[str, str | None]]]:
+def benchmark_blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[str | None, str | None]]]:
     """The benchmark in blocks of at most ``block_bytes`` (a longer item is a block of its own).
 
     Only one block at a time is held by the driver; items are in order.
     """
     rows = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).cast("string").alias("t"))
-    rows = rows.where(F.col("i").isNotNull() & F.col("t").isNotNull()).dropDuplicates().orderBy("i", "t")
-    block: list[tuple[str, str | None]] = []
+    rows = rows.where(F.col("t").isNotNull()).dropDuplicates().orderBy("i", "t")
+    block: list[tuple[str | None, str | None]] = []
     size = 0
     for row in rows.toLocalIterator():
         length = len(row.t.encode())
@@ -170,7 +172,7 @@ def find_contamination(
     """Every document with ``n_words``, ``hits`` (ranges of hit words) and ``items`` (ids that occur).
 
     A null or wordless text has no words and no hits; items without words match
-    nothing; repeated rows stay repeated. Columns of the input named like the
+    nothing; windows of items without an id are hits, but add nothing to ``items``; repeated rows stay repeated. Columns of the input named like the
     three are replaced. No shuffle: documents are read once for each block of the
     benchmark, which for all but very large benchmarks is one.
     """

@@ -286,3 +286,13 @@ def test_toxicity_learns_word_beginnings(spark):
     assert kept.count() == sum(r.score < 0.3 for r in got)
     assert toxicity.toxicity(docs.limit(0), known).count() == 0
     assert {round(r.score, 9) for r in toxicity.toxicity(docs, known.limit(0)).collect()} == {0.1}
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 20])
+def test_benchmark_items_without_an_id_are_hits(spark, block_bytes):
+    bench = spark.createDataFrame([(None, "one two three"), (None, None), ("5", "five six")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "say one two three"), (2, "one TWO three five six"), (3, "one three")], "doc_id bigint, text string")
+    found = decontamination.find_contamination(docs, bench, block_bytes=block_bytes)
+    got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in decontamination.digest(found).collect()}
+    assert got == {1: (3, 0, True), 2: (5, 1, True), 3: (0, 0, False)}
+    assert [r["items"] for r in found.orderBy("doc_id").collect()] == [[], ["5"], []]
