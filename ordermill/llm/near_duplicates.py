@@ -201,14 +201,15 @@ def linked(left: list[np.ndarray], right: list[np.ndarray], similarity: int = SI
     keep = copies[column] > 1
     number = np.cumsum(copies > 1) - 1
     row, column = row[keep], number[column[keep]]
-    shared = np.zeros((len(left), len(right)), np.float32)
+    shared = np.zeros((len(left), len(right)), np.int64)
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
         part = slice(*np.searchsorted(column, [at, at + COLUMNS]))
         has = np.zeros((len(left) + len(right), COLUMNS), np.float32)
         has[row[part], column[part] - at] = 1
-        shared += has[: len(left)] @ has[len(left) :].T
+        # A block's counts are small enough for float32; sums and products need not be.
+        shared += (has[: len(left)] @ has[len(left) :].T).astype(np.int64)
     total = sizes[0][:, None] + sizes[1][None, :]
     return shared * (100 + similarity) >= total * similarity
 

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from ordermill.llm import decontamination, near_duplicates, packing, repeats, secrets, token_files, toxicity
 from pyspark.sql import functions as F
@@ -296,3 +297,14 @@ def test_benchmark_items_without_an_id_are_hits(spark, block_bytes):
     got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in decontamination.digest(found).collect()}
     assert got == {1: (3, 0, True), 2: (5, 1, True), 3: (0, 0, False)}
     assert [r["items"] for r in found.orderBy("doc_id").collect()] == [[], ["5"], []]
+
+
+def test_links_of_very_long_texts_are_decided_exactly():
+    # One shingle short of 85 %, which rounding to float32 hides.
+    shared = next(n for n in range(726000, 800000) if (37 * n + 1) % 17 == 0 and float(np.float32(185 * n)) >= 185 * n + 5)
+    total = (37 * shared + 1) // 17
+    one = np.arange(total // 2, dtype=np.int64)
+    other = np.arange(len(one) - shared, len(one) - shared + total - len(one), dtype=np.int64)
+    assert len(np.intersect1d(one, other)) == shared
+    assert not near_duplicates.linked([one], [other], 85).any()
+    assert near_duplicates.linked([one], [one], 85).all()
