@@ -4,7 +4,8 @@ A BPE tokenizer first cuts a text into pieces (words with their space, runs of
 digits or marks) and then looks at each piece alone. Here numpy cuts a whole
 group of texts and hashes the pieces; ids of pieces seen before come from a
 table, the others are given to the tokenizer's model. Texts with characters
-outside :data:`SAFE` go to the tokenizer whole. Ids equal the tokenizer's own.
+outside :data:`SAFE`, or with the literal of a token that the file adds to the model,
+go to the tokenizer whole. Ids equal the tokenizer's own, added tokens included.
 """
 
 from __future__ import annotations
@@ -67,6 +68,17 @@ def unsafe_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return unsafe
 
 
+def rows_with(data: np.ndarray, offsets: np.ndarray, literals: list[bytes]) -> np.ndarray:
+    """Which rows have one of the literals, or share one with the next row."""
+    whole, found = data.tobytes(), np.zeros(len(offsets) - 1, bool)
+    for literal in literals:
+        at = whole.find(literal)
+        while at >= 0:
+            found[np.searchsorted(offsets, at, "right") - 1] = True
+            at = whole.find(literal, at + 1)
+    return found
+
+
 def lower(data: np.ndarray) -> np.ndarray:
     """Lower-case safe UTF-8 bytes."""
     out = _LOWER[data]
@@ -125,8 +137,8 @@ class PieceEncoder:
 
     def __init__(self, path: str, spaced: bool) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model, self.spaced = self.tokenizer.model, spaced
+        self.added = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
         self._clear()
 
     def _clear(self) -> None:
@@ -200,7 +212,7 @@ class PieceEncoder:
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a group of texts, each with ``end_id`` after it, and where each text's ids begin."""
         rows = len(offsets) - 1
-        unsafe = unsafe_rows(data, offsets)
+        unsafe = unsafe_rows(data, offsets) | rows_with(data, offsets, self.added)
         if unsafe.any():
             spans = [(offsets[i], offsets[i + 1]) for i in range(rows)]
             whole = [bytes(data[a:b]).decode() for (a, b), bad in zip(spans, unsafe, strict=True) if bad]

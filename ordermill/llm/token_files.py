@@ -74,12 +74,15 @@ def write_tokens(
 
     The texts are shuffled, by key range, and encoded after; so nothing is
     encoded twice. Null texts are empty, null keys come first, repeated rows
-    stay, other columns are not used. An empty table gives an empty folder that
-    can be read.
+    stay, other columns are not used. Rows of one key are ordered by their texts' hashes, so
+    that they may be in several tasks, and copies by the task that read them. An empty table
+    gives an empty folder that can be read.
     """
     chosen = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     kind = chosen.schema["key"].dataType.simpleString()
-    rows = chosen.repartitionByRange("key").sortWithinPartitions("key", "text")
+    rows = chosen.select("*", F.xxhash64("text").alias("hash"), F.spark_partition_id().alias("task"))
+    rows = rows.repartitionByRange("key", "hash", "task")
+    rows = rows.sortWithinPartitions("key", "hash", "task").select("key", "text")
     schema = f"key {kind}, chunk int, chunk_start bigint, n_tokens bigint, ids array<int>"
     rows.mapInArrow(_tokenise(path or word_bpe_path(), end_id), schema).write.options(**WRITE_OPTIONS).parquet(folder)
 

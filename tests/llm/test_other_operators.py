@@ -73,13 +73,19 @@ def test_pieces_give_the_tokenizers_own_ids(file, spaced):
     import numpy as np
     import public_tokenizers
 
+    from tokenizers import Tokenizer
+
     encoder, rnd = PieceEncoder(public_tokenizers.path(file), spaced), random.Random(1)
+    plain = Tokenizer.from_file(public_tokenizers.path(file))
     texts = ["".join(rnd.choice(" \n\t'sdtrevml1a2é!.,AÉœß×\r<|>") for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
-    texts += ["it's 'S we'll'd", "<|endoftext|>", "日本 text", "x" * 5000]
+    texts += ["it's 'S we'll'd", "日本 text", "x" * 5000]
+    # Literals of added tokens are tokens; beginnings of them, other cases of letters and halves in two texts are not.
+    texts += ["a <|endoftext|> b", "<|startoftext|><|endoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "x<|startoftext|", "<<|endoftext|>>"]
+    texts += ["".join(rnd.choice(["<|endoftext|>", "<|startoftext|>", "<|", "a ", "é"]) for _ in range(rnd.randint(0, 9))) for _ in range(300)]
     data = [t.encode() for t in texts]
     ids, begins = encoder.encode(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]), 9)
     for i, text in enumerate(texts):
-        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids + [9]
+        want = plain.encode(text, add_special_tokens=False).ids + [9]
         assert ids[begins[i] : begins[i + 1]].tolist() == want
 
 
