@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import decontamination, lm_score, near_duplicates, neighbours, packing, repeats, secrets, token_files, toxicity, url_reputation
+from ordermill.llm import (
+    decontamination,
+    lm_score,
+    near_duplicates,
+    neighbours,
+    packing,
+    periodic_runs,
+    repeats,
+    secrets,
+    token_counts,
+    token_files,
+    toxicity,
+    url_reputation,
+)
 from ordermill.llm.common import read_table
 from ordermill.session import scratch_path
 
@@ -37,8 +50,9 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
-    token_files.write_tokens(read_table(spark, sf_dir, "documents"), folder)
-    return token_files.digest(token_files.read_files(spark, folder))
+    documents = read_table(spark, sf_dir, "documents")
+    token_files.write_tokens(documents, folder)
+    return token_files.digest(token_files.read_files(spark, folder, documents.schema["doc_id"].dataType.simpleString()))
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +72,14 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(repeats.find_repeats(read_table(spark, sf_dir, "documents")))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(read_table(spark, sf_dir, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_ledger": op1_secret_ledger,
     "op2_packing": op2_packing,
@@ -69,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_reputation": op8_url_reputation,
     "op9_toxicity": op9_toxicity,
     "op10_repeats": op10_repeats,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op13_token_counts": op13_token_counts,
 }
 
 _OP8 = r"""
