@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from ordermill.session import scratch_path
+
 # Arrow's own pool keeps what it once took, which adds up in workers that are used again.
 pa.set_memory_pool(pa.system_memory_pool())
 
@@ -20,6 +22,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class Scratch:
+    """Written tables in the shared folder: a lost executor costs no recomputation of what is in them."""
+
+    def __init__(self, spark: SparkSession, purpose: str) -> None:
+        self.spark, self.root, self.count = spark, scratch_path(spark, purpose), 0
+
+    def keep(self, frame: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.root}/{self.count}"
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+
 def text_groups(
     column: pa.Array, most: int = GROUP_BYTES
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

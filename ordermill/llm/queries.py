@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ordermill.llm import (
     decontamination,
     lm_score,
+    manifest,
     near_duplicates,
     neighbours,
     packing,
@@ -21,6 +22,7 @@ from ordermill.llm import (
     url_reputation,
 )
 from ordermill.llm.common import read_table
+from ordermill.llm.manifest_sql import manifest_sql
 from ordermill.session import scratch_path
 
 
@@ -76,6 +78,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.digest(manifest.manifest(read_table(spark, sf_dir, "documents")))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"))
 
@@ -92,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_repeats": op10_repeats,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_token_counts": op13_token_counts,
 }
 
@@ -185,4 +192,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": _OP3,
     "op4_near_duplicates": _OP4,
     "op8_url_reputation": _OP8,
+    "op12_merkle_manifest": manifest_sql(),
 }
