@@ -15,6 +15,7 @@ from ordermill.operators.clean import (
     CUSTOMERS,
     ORDERS,
     PRODUCTS,
+    DateFormats,
     FeedRules,
     typed_feed,
 )
@@ -49,11 +50,11 @@ def _raw_rows() -> Column:
     return F.coalesce(F.sum("copies"), F.lit(0))
 
 
-def _audited(
+def audited(
     raw: DataFrame,
     rules: FeedRules,
-    order_by: str,
-    date_formats: Sequence[str],
+    order_by: str = SOURCE_ORDINAL,
+    date_formats: DateFormats = DATE_FORMATS,
     carried: Sequence[str] = (),
 ) -> DataFrame:
     """First rows of each key: copies, outcome of the rules, and ``carried`` columns.
@@ -65,40 +66,39 @@ def _audited(
     judged = typed.select(
         rules.key,
         order_by,
-        *carried,
+        *(name for name in carried if name != rules.key),
         rules.complete().alias("is_complete"),
         (rules.complete() & rules.acceptable()).alias("is_clean"),
     )
     return keep_first_counting(judged, rules.key, order_by)
 
 
+def counted(audited_feed: DataFrame, rules: FeedRules) -> DataFrame:
+    """Counts of one audited feed: raw, clean and removed rows, and rejected quantities."""
+    rejected = F.count_if(F.col("is_complete") & ~F.col("is_clean"))
+    has_quantity = F.lit("quantity" in rules.columns)
+    return audited_feed.agg(
+        F.lit(rules.feed).alias("feed"),
+        _raw_rows().alias("raw_rows"),
+        F.count_if("is_clean").alias("clean_rows"),
+        (_raw_rows() - F.count_if("is_clean")).alias("removed_rows"),
+        F.when(has_quantity, rejected).alias("rejected_quantity"),
+    )
+
+
 def cleaning_counts(
     customers: DataFrame,
     products: DataFrame,
     orders: DataFrame,
     order_by: str = SOURCE_ORDINAL,
-    date_formats: Sequence[str] = DATE_FORMATS,
+    date_formats: DateFormats = DATE_FORMATS,
 ) -> DataFrame:
     """Per feed: raw, clean and removed rows, and complete rows with a quantity
     of 0 or less (NULL for the feeds that have none). One pass over each feed.
     """
-
-    def counted(raw: DataFrame, rules: FeedRules) -> DataFrame:
-        rejected = F.count_if(F.col("is_complete") & ~F.col("is_clean"))
-        has_quantity = F.lit("quantity" in rules.columns)
-        return _audited(raw, rules, order_by, date_formats).agg(
-            F.lit(rules.feed).alias("feed"),
-            _raw_rows().alias("raw_rows"),
-            F.count_if("is_clean").alias("clean_rows"),
-            (_raw_rows() - F.count_if("is_clean")).alias("removed_rows"),
-            F.when(has_quantity, rejected).alias("rejected_quantity"),
-        )
-
-    return (
-        counted(customers, CUSTOMERS)
-        .unionByName(counted(products, PRODUCTS))
-        .unionByName(counted(orders, ORDERS))
-    )
+    feeds = ((customers, CUSTOMERS), (products, PRODUCTS), (orders, ORDERS))
+    parts = [counted(audited(raw, rules, order_by, date_formats), rules) for raw, rules in feeds]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def quality_report(
@@ -106,7 +106,7 @@ def quality_report(
     products: DataFrame,
     orders: DataFrame,
     order_by: str = SOURCE_ORDINAL,
-    date_formats: Sequence[str] = DATE_FORMATS,
+    date_formats: DateFormats = DATE_FORMATS,
     null_keys_match: bool = True,
 ) -> DataFrame:
     """The nine counters as one row.
@@ -116,23 +116,23 @@ def quality_report(
     not, go through both joins with their flag to one aggregate.
     """
 
-    def dimension_counts(audited: DataFrame, rules: FeedRules) -> DataFrame:
-        return audited.agg(
+    def dimension_counts(side: DataFrame, rules: FeedRules) -> DataFrame:
+        return side.agg(
             _raw_rows().alias(f"raw_{rules.feed}"),
             F.count_if("is_clean").alias(f"clean_{rules.feed}"),
         )
 
-    def lookup(audited: DataFrame, rules: FeedRules, flag: str) -> DataFrame:
+    def lookup(side: DataFrame, rules: FeedRules, flag: str) -> DataFrame:
         # Asking for the copies keeps both uses of the aggregate the same.
-        found = audited.where(F.col("is_clean") & (F.col("copies") > 0))
+        found = side.where(F.col("is_clean") & (F.col("copies") > 0))
         return found.select(rules.key, F.lit(True).alias(flag))
 
     sides = {
-        rules.feed: _audited(raw, rules, order_by, date_formats)
+        rules.feed: audited(raw, rules, order_by, date_formats)
         for raw, rules in ((customers, CUSTOMERS), (products, PRODUCTS))
     }
-    audited = _audited(orders, ORDERS, order_by, date_formats, ("customer_id", "product_id"))
-    matched = audited.select("customer_id", "product_id", "copies", "is_clean")
+    judged = audited(orders, ORDERS, order_by, date_formats, ("customer_id", "product_id"))
+    matched = judged.select("customer_id", "product_id", "copies", "is_clean")
     for rules, flag in ((CUSTOMERS, "has_customer"), (PRODUCTS, "has_product")):
         matched = attach(matched, lookup(sides[rules.feed], rules, flag), rules.key, null_keys_match)
     clean = F.col("is_clean")

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.money import line_amount
 from ordermill.functions.values import is_present, month_text
-from ordermill.operators.clean import clean_customers, clean_orders, clean_products
+from ordermill.operators.clean import DateFormats, clean_customers, clean_orders, clean_products
 from ordermill.operators.match import match_orders
 from ordermill.schema import DATE_FORMATS, SALES_COLUMNS, SOURCE_ORDINAL
 
@@ -19,7 +17,7 @@ def merged_orders(
     products: DataFrame,
     orders: DataFrame,
     order_by: str = SOURCE_ORDINAL,
-    date_formats: Sequence[str] = DATE_FORMATS,
+    date_formats: DateFormats = DATE_FORMATS,
     null_keys_match: bool = True,
 ) -> DataFrame:
     """Clean orders of the three raw feeds with both lookups and ``is_valid``."""
@@ -50,11 +48,13 @@ def build_sales_summary(
     orders: DataFrame,
     valid_only: bool = False,
     order_by: str = SOURCE_ORDINAL,
-    date_formats: Sequence[str] = DATE_FORMATS,
+    date_formats: DateFormats = DATE_FORMATS,
     null_keys_match: bool = True,
 ) -> DataFrame:
     """The sales fact of three raw feeds, unsorted.
 
+    Text dates are read by ``date_formats``; ``None`` has the first rows of the
+    feeds looked at for the format, in a job of their own.
     ``valid_only=False`` keeps orders without a customer or product, as the
     batch reports want; ``True`` drops them, as the dashboard reports want.
     """
