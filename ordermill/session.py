@@ -81,6 +81,12 @@ def size_shuffles(spark: SparkSession, *paths: str, kind: str = "parquet") -> in
     return max(wanted, current)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whatever file system it is; nothing happens if there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the shared folder named in ``spark.checkpoint.dir``.
 

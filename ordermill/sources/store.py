@@ -1,18 +1,29 @@
-"""Storing, reading back and exporting the sales fact."""
+"""Storing, reading back and exporting the sales fact.
+
+A stored fact is a folder of versions. A version is written beside those that are
+there, compared with what was meant, and only then marked as verified; readers take the
+last verified one. So a load that fails or is killed leaves the fact as it was.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.functions.values import is_present
 from ordermill.plans.sales import in_date_order
 from ordermill.schema import SALES_COLUMNS, SALES_SCHEMA, SALES_TABLE
+from ordermill.session import drop_folder
 from ordermill.sources.csv_feeds import has_line_breaks_in_cells
 
 MONTH_COLUMN = "year_month"
 VALID_COLUMN = "is_valid"
+# A version's folder is named by its number; a file of this name says that it is whole and compared.
+VERSION_PREFIX, VERIFIED = "fact-", "_VERIFIED"
 DATE_FORMAT = "yyyy-MM-dd"
 DATE_AND_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 # What the reader puts for a quoted empty cell, so that it differs from a missing one.
@@ -37,21 +48,105 @@ def _replacing(sales: DataFrame, folders: list[str]) -> DataFrameWriter:
     return writer.partitionBy(*folders) if folders else writer
 
 
-def save_sales(sales: DataFrame, path: str, by_month: bool = True) -> None:
-    """Replace the Parquet folder at ``path``.
+def content_digest(columns: list[str]) -> list[Column]:
+    """Two sums over all rows, in whatever order: how many they are, and a sum of hashes of their cells.
+
+    A hash skips missing cells, so which cells are missing goes into it as well.
+    """
+    cells = [F.col(f"`{name}`") for name in columns]
+    row = F.xxhash64(*cells, *(F.isnull(cell) for cell in cells))
+    return [F.count(F.lit(1)).alias("n_rows"), F.sum(row.cast("decimal(20,0)")).alias("digest")]
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _versions(spark: SparkSession, path: str) -> dict[str, bool]:
+    """The versions in a folder, oldest first, and whether they are verified."""
+    files, place = _file_system(spark, f"{path}/{VERSION_PREFIX}*")
+    names = sorted(found.getPath().getName() for found in files.globStatus(place) or [])
+    marks = {name: _file_system(spark, f"{path}/{name}/{VERIFIED}")[1] for name in names}
+    return {name: files.exists(mark) for name, mark in marks.items()}
+
+
+def current_folder(spark: SparkSession, path: str) -> str:
+    """The folder of the last verified version; the path itself if it holds no versions."""
+    versions = _versions(spark, path)
+    verified = [name for name, good in versions.items() if good]
+    if versions and not verified:
+        raise FileNotFoundError(f"no load at {path} was ever verified")
+    return f"{path}/{verified[-1]}" if verified else path
+
+
+def _same_content(spark: SparkSession, meant: DataFrame, seen: dict, folder: str) -> None:
+    """Raise if the rows of a folder are not those that were meant to be written.
+
+    ``seen`` was counted along with the writing, which may have counted a task twice
+    that ran twice; so it can clear a load but not condemn it. In doubt the plan is counted again.
+    """
+    stored = _read(spark, folder, meant).agg(*content_digest(meant.columns)).first().asDict()
+    if stored != seen:
+        again = meant.agg(*content_digest(meant.columns)).first().asDict()
+        if stored != again:
+            raise RuntimeError(f"rows stored in {folder} are not those written: {stored}, not {again}")
+
+
+def save_sales(
+    sales: DataFrame,
+    path: str,
+    by_month: bool = True,
+    check: Callable[[DataFrame], None] | None = None,
+    verify: bool = True,
+) -> str:
+    """Replace the Parquet fact at ``path``; gives the folder of the new version.
 
     Valid and other rows go to folders of their own, by month if asked, so
     that valid-only reports need not read both names to tell rows apart.
+
+    The old fact stays until the new one is written whole, its cells add up to the digest taken
+    while writing (``verify``), and ``check``, given the new rows, does not raise. Then
+    it goes, and so does what failed loads left; frames that still read it should be
+    done. One load at a time may write to a path.
     """
+    spark = sales.sparkSession
     flagged = sales.withColumn(VALID_COLUMN, is_present("customer_name", "product_name"))
     folders = [VALID_COLUMN, MONTH_COLUMN] if by_month else [VALID_COLUMN]
-    _replacing(flagged, folders).save(path)
+    before = _versions(spark, path)
+    number = max((int(name.split("-")[1]) for name in before), default=0) + 1
+    version = f"{VERSION_PREFIX}{number:08d}-{uuid.uuid4().hex[:8]}"
+    folder = f"{path}/{version}"
+    seen = Observation()
+    watched = flagged.observe(seen, *content_digest(flagged.columns)) if verify else flagged
+    try:
+        _replacing(watched, folders).save(folder)
+        if verify:
+            _same_content(spark, flagged, seen.get, folder)
+        if check:
+            check(_read(spark, folder, flagged).select(*sales.columns))
+    except Exception:
+        drop_folder(spark, folder)
+        raise
+    files, mark = _file_system(spark, f"{folder}/{VERIFIED}")
+    files.create(mark).close()
+    for name in before:
+        drop_folder(spark, f"{path}/{name}")
+    # A fact that was stored without versions lies beside them.
+    for pattern in (f"{VALID_COLUMN}=*", "part-*", "_SUCCESS"):
+        for found in files.globStatus(_file_system(spark, f"{path}/{pattern}")[1]) or []:
+            files.delete(found.getPath(), True)
+    return folder
+
+
+def _read(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
+    return spark.read.schema(like.schema).parquet(folder)
 
 
 def open_sales(spark: SparkSession, path: str, valid_only: bool = False) -> DataFrame:
     """The stored fact, or its valid rows, columns in their fixed order."""
     schema = T.StructType([*SALES_SCHEMA.fields, T.StructField(VALID_COLUMN, T.BooleanType())])
-    stored = spark.read.schema(schema).parquet(path)
+    stored = spark.read.schema(schema).parquet(current_folder(spark, path))
     if valid_only:
         stored = stored.filter(VALID_COLUMN)
     return stored.select(*SALES_COLUMNS)
@@ -68,7 +163,7 @@ def stored_columns(spark: SparkSession, path: str) -> DataFrame:
     before = spark.conf.get(inference)
     spark.conf.set(inference, "false")
     try:
-        stored = spark.read.parquet(path)
+        stored = spark.read.parquet(current_folder(spark, path))
     finally:
         spark.conf.set(inference, before)
     known = [name for name in SALES_COLUMNS if name in stored.columns]
