@@ -243,6 +243,7 @@ _BODIES = {
     "clean_customers": "SELECT * FROM good_customers",
     "clean_products": "SELECT * FROM good_products",
     "clean_orders": "SELECT * FROM good_orders",
+    "clean_orders_inferred_dates": "SELECT * FROM good_orders WHERE length(order_id) % 5 <> 1",
     "cleaning_counts": """
       SELECT 'customers' AS feed, raw_customers AS raw_rows, clean_customers AS clean_rows,
              raw_customers - clean_customers AS removed_rows,
@@ -352,6 +353,7 @@ _BODIES = {
     "cleaning_funnel": _FUNNEL,
     "quality_match_counts": "SELECT missing_customers, missing_products, valid_orders FROM q",
     "load_roundtrip": "SELECT * FROM sales_all",
+    "load_kept_after_failure": "SELECT * FROM sales_all",
     "load_roundtrip_valid": "SELECT * FROM f",
     "load_count_check": """
       SELECT count(*) AS rows_loaded, count(*) AS rows_written, true AS matches FROM sales_all""",

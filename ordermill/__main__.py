@@ -6,7 +6,6 @@ import argparse
 from collections.abc import Sequence
 
 from ordermill.runs import run_batch
-from ordermill.schema import DATE_FORMATS
 from ordermill.session import build_session
 
 
@@ -17,7 +16,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("target", help="folder the sales fact is stored in")
     parser.add_argument("--master", help="Spark master, if not set by spark-submit")
     parser.add_argument("--flat", action="store_true", help="no subfolder per month")
-    parser.add_argument("--date-format", action="append", help="accepted date shape; repeatable")
+    parser.add_argument("--date-format", action="append", help="accepted date shape, repeatable; told from the first dates if left out")
     parser.add_argument(
         "--single-line-cells",
         action="store_true",
@@ -33,7 +32,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         options.orders,
         options.target,
         by_month=not options.flat,
-        date_formats=options.date_format or DATE_FORMATS,
+        date_formats=options.date_format,
         multi_line=False if options.single_line_cells else None,
     )
     for name, detail in run.details.items():

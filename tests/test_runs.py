@@ -1,9 +1,14 @@
+import re
+
 import pytest
 from helpers import customers, orders, products, values
 
-from ordermill import run_batch, run_etl
+from ordermill import run_batch, run_etl, runs
 from ordermill.__main__ import main
-from ordermill.plans import dashboard
+from ordermill.plans import dashboard, quality
+from ordermill.runs import stage_feeds, staged_sales
+from ordermill.schema import DATE_FORMATS
+from ordermill.sources import csv_feeds, store
 
 FEEDS = {
     "customers.csv": """customer_id,customer_name,city,signup_date
@@ -62,6 +67,59 @@ def test_batch_run(spark, folder):
     assert dashboard.kpis(run.valid_sales).first().total_orders == 3
 
 
+def with_dates(folder, change):
+    for name in ("customers.csv", "orders.csv"):
+        text = (folder / name).read_text(encoding="utf-8")
+        (folder / name).write_text(re.sub(r"(\d{4})-(\d\d)-(\d\d)", change, text), encoding="utf-8")
+
+
+@pytest.mark.parametrize("change", [r"\1/\2/\3", r"\2/\3/\1", r"\2.\3.\1", r"\1-\2-\3T10:00:00"])
+def test_dates_of_other_shapes(spark, folder, change):
+    plain = values(run_batch(spark, *paths(folder)).sales, "order_id", "year_month", "total_amount")
+    with_dates(folder, change)
+    other = run_batch(spark, *paths(folder))
+    assert sorted(values(other.sales, "order_id", "year_month", "total_amount")) == sorted(plain)
+    assert len(plain) == 5
+
+
+def test_a_run_that_cannot_read_the_dates_keeps_the_old_fact(spark, folder):
+    old = values(run_batch(spark, *paths(folder)).sales)
+    with_dates(folder, r"\1\2\3")
+    with pytest.raises(ValueError, match="no known date format in customers.signup_date"):
+        run_batch(spark, *paths(folder))
+    assert values(store.open_sales(spark, str(folder / "sales"))) == old
+    again = run_batch(spark, *paths(folder), date_formats=["yyyyMMdd"])
+    assert sorted(values(again.sales)) == sorted(old)
+    mixed = {"customers": ["yyyyMMdd"], "orders": ["yyyyMMdd"]}
+    assert sorted(values(run_batch(spark, *paths(folder), date_formats=mixed).sales)) == sorted(old)
+
+
+def test_a_load_with_other_rows_than_meant_is_refused(spark, folder, monkeypatch):
+    old = values(run_batch(spark, *paths(folder)).sales)
+    monkeypatch.setattr(runs, "staged_sales", lambda staged: staged_sales(staged).limit(2))
+    with pytest.raises(RuntimeError, match="differs from the clean orders"):
+        run_batch(spark, *paths(folder))
+    assert values(store.open_sales(spark, str(folder / "sales"))) == old
+
+
+def test_each_feed_is_shuffled_once(spark, folder, tmp_path):
+    names = dict(zip(("customers", "products", "orders"), paths(folder), strict=False))
+    feeds = {name: csv_feeds.read_feed(spark, path, ()) for name, path in names.items()}
+    exchanges = {}
+    for rules in runs.FEEDS:
+        judged = quality.audited(feeds[rules.feed], rules, carried=rules.columns)
+        plan = judged._jdf.queryExecution().executedPlan().toString()
+        exchanges[rules.feed] = plan.count("Exchange hashpartitioning")
+    assert exchanges == {"customers": 1, "products": 1, "orders": 1}
+    staged = stage_feeds(spark, feeds, DATE_FORMATS, str(tmp_path / "staged"))
+    # The audit then needs no shuffle by key, and the fact only what its joins need.
+    for rules in runs.FEEDS:
+        plan = quality.counted(staged[rules.feed], rules)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "csv" not in plan.lower()
+    plan = staged_sales(staged)._jdf.queryExecution().executedPlan().toString()
+    assert "source_ordinal" not in plan and "csv" not in plan.lower()
+
+
 def test_command_line(spark, folder, capsys):
     main([*paths(folder), "--flat", "--single-line-cells", "--date-format", "yyyy-MM-dd"])
     shown = capsys.readouterr().out
