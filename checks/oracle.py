@@ -386,6 +386,7 @@ _BODIES = {
         WHEN 2 THEN customer_name || chr(10) || 'said "so", twice' WHEN 3 THEN customer_name END AS customer_name)
       FROM f""",
     "csv_export_roundtrip": "SELECT * FROM f",
+    "csv_export_single_file": "SELECT * FROM f",
     "csv_ingest_roundtrip": "SELECT * FROM good_orders",
     "batch_run_from_csv": "SELECT * FROM sales_all",
 }

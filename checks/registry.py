@@ -170,6 +170,12 @@ def _csv_export_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return store.read_csv_export(spark, path)
 
 
+def _csv_export_single_file(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "export") + ".csv"
+    store.export_csv(sales(spark, folder, valid_only=True), path, single_file=True)
+    return store.read_csv_export(spark, path)
+
+
 def _as_csv(spark: SparkSession, feed: DataFrame, name: str) -> str:
     """The feed as CSV files that follow each other in its row order."""
     path = scratch_path(spark, f"{name}-feed")
@@ -304,6 +310,7 @@ QUERIES: dict[str, Query] = {
     "catalog_table": _catalog_table,
     "catalog_table_schema": lambda spark, folder: profile.schema_report(_catalog_table(spark, folder)),
     "csv_export_odd_names": _odd_names,
+    "csv_export_single_file": _csv_export_single_file,
     "csv_export_roundtrip": _csv_export_roundtrip,
     "csv_ingest_roundtrip": _csv_ingest_roundtrip,
     "batch_run_from_csv": _batch_run_from_csv,

@@ -21,40 +21,66 @@ from ordermill.schema import (
 )
 
 _BROKEN = "_broken_row"
+_FILE, _RANK = "_file", "_rank"
 
+# Paths of so many characters in all are held by every task, as ranks of the files.
+MOST_PATH_CHARACTERS = 8 << 20
 
 # A whole quoted cell, at a cell's start; quotes elsewhere are plain characters.
 _QUOTED_CELL = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
+# What a line begins with that ends a cell begun on an earlier line: text, the quote, and what follows it.
+_CLOSES = r'^[^"]*+(?:""[^"]*+)*+"(,|$)'
+_CANNOT_CLOSE = r'^[^"]*+(?:""[^"]*+)*+"[^",]'
 
 
-def files_with_line_breaks(spark: SparkSession, path: str | list[str]) -> list[str]:
+def _line_by_line(encoding: str) -> bool:
+    """Whether line ends, quotes and commas of a file can be told from its bytes."""
+    try:
+        return all(mark.encode(encoding) == mark.encode("ascii") for mark in '\r\n",')
+    except LookupError:
+        return False
+
+
+def files_with_line_breaks(
+    spark: SparkSession, path: str | list[str], open_quotes: str = "fail"
+) -> list[str]:
     """The files of a feed in which some quoted cell spans lines.
 
-    Such a cell leaves a line on which it opens and does not close. If all quotes
-    of a file with such a line do not pair up, a quote was never closed: a reader
-    would take the rest of the file for one cell, so this raises and names the file.
+    Such a cell leaves a line on which it opens and does not close. A quote that
+    is never closed would make a reader take what follows for one cell, up to the
+    next quote. So unless ``open_quotes="accept"``, the quotes of a file with such lines must
+    pair up, and it must have as many lines that can close a cell as lines that can
+    only open one; else this raises and names the file. Files whose cells are
+    written as they should be always pass.
     One split pass; the driver gets only the names of files that have such lines.
     """
     line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
     opens = F.regexp_replace(line, _QUOTED_CELL, "$1").rlike('(^|,)"')
     found = (
         spark.read.text(path)
         .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.sum(quotes).alias("quotes"), F.max(opens).alias("opens"))
+        .agg(
+            F.sum(F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))).alias("quotes"),
+            F.max(opens).alias("opens"),
+            F.count_if(opens & line.rlike(_CANNOT_CLOSE)).alias("opening"),
+            F.count_if(line.rlike(_CLOSES)).alias("closing"),
+        )
         .where("opens")
         .orderBy("file")
         .collect()
     )
-    odd = [unquote(row.file) for row in found if row.quotes % 2]
-    if odd:
-        raise ValueError(f"quote that is never closed in {', '.join(odd[:5])}")
+    if open_quotes == "fail":
+        wrong = [unquote(r.file) for r in found if r.quotes % 2 or r.opening > r.closing]
+        if wrong:
+            raise ValueError(f"quote that is never closed in {', '.join(wrong[:5])}")
     return [unquote(row.file) for row in found]
 
 
-def has_line_breaks_in_cells(spark: SparkSession, path: str | list[str]) -> bool:
+def has_line_breaks_in_cells(
+    spark: SparkSession, path: str | list[str], open_quotes: str = "fail"
+) -> bool:
     """Whether some quoted cell of the files spans lines; raises on a quote never closed."""
-    return bool(files_with_line_breaks(spark, path))
+    return bool(files_with_line_breaks(spark, path, open_quotes))
 
 
 def _has_surplus_cell(row_text: Column, width: int) -> Column:
@@ -64,11 +90,44 @@ def _has_surplus_cell(row_text: Column, width: int) -> Column:
     return commas >= width
 
 
+def _holds_a_row(width: int, names: Sequence[str]) -> Column:
+    """A text cell with a line inside that has the commas of a whole row, or NULL."""
+
+    def whole_row(line: Column) -> Column:
+        return F.length(line) - F.length(F.replace(line, F.lit(","), F.lit(""))) >= width - 1
+
+    def suspicious(cell: Column) -> Column:
+        lines = F.split(cell, r"\r?\n")
+        inner = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 2, F.lit(0)))
+        return F.when(F.exists(inner, whole_row), cell)
+
+    return F.coalesce(*(suspicious(F.col(f"`{name}`")) for name in names))
+
+
 def _same_file(name: str) -> str:
     """A file's name however its scheme's slashes are written."""
     return re.sub(r"^([a-z0-9]+):/+", r"\1:/", name)
 
 
+def file_ranks(spark: SparkSession, path: str | list[str]) -> dict[str, int]:
+    """The place of each file of a feed among all, by path."""
+    names = sorted(spark.read.text(path).inputFiles(), key=unquote)
+    return {_same_file(name): rank for rank, name in enumerate(names)}
+
+
+def _place_of(rows: DataFrame, ranks: dict[str, int]) -> tuple[DataFrame, Column]:
+    """The rows, and the column that orders their files: a number unless the paths are too many to hand out."""
+    if len(ranks) <= 1:
+        return rows, F.lit(0)
+    if sum(map(len, ranks)) > MOST_PATH_CHARACTERS:
+        return rows, F.col(_FILE)
+    # A scheme may be followed by one slash or by three.
+    spelled = {re.sub(r"^([a-z0-9]+):/+", rf"\1:{slashes}", name): rank for name, rank in ranks.items() for slashes in ("/", "//", "///")}
+    known = rows.sparkSession.createDataFrame(list(spelled.items()), f"{_FILE} string, {_RANK} int")
+    missing = F.raise_error(F.concat(F.lit("file that was not listed: "), F.col(_FILE))).cast("int")
+    return rows.join(F.broadcast(known), _FILE, "left"), F.coalesce(F.col(_RANK), missing)
+
+
 def read_feed(
     spark: SparkSession,
     path: str | list[str],
@@ -76,28 +135,48 @@ def read_feed(
     multi_line: bool | None = None,
     surplus: str = "fail",
     encoding: str = "UTF-8",
+    open_quotes: str = "fail",
+    ranks: dict[str, int] | None = None,
 ) -> DataFrame:
     """CSV files or folders as STRING columns, with ``source_ordinal``.
 
     Columns are found by header name and every file must carry the same header.
     Missing-cell texts become NULL. ``source_ordinal`` orders rows as they stand
-    in the files, files by path.
+    in the files, files by path: it is the file's rank among all (``ranks``), the
+    block and the row, three numbers.
 
     Cells that span lines keep a file from being split. ``multi_line=None``
-    looks for them first, in a job of its own, reads only the files that have
-    them unsplit, and raises on a quote that is never closed; say ``False`` to
-    spare that pass on feeds known to have none, ``True`` to skip it otherwise.
-    A row with surplus cells stops the read unless ``surplus="drop"`` lets the
-    extra cells go.
+    looks for them first, in a job of its own, and reads only the files that have
+    them unsplit; say ``False`` to spare that pass on feeds known to have none,
+    ``True`` to skip it otherwise. In encodings whose lines cannot be told
+    from bytes, such as UTF-16, no file is split.
+
+    A quote that is never closed swallows rows up to the next quote. The pass
+    above raises where quotes do not pair up, and reading raises at a cell with a
+    line inside that has the commas of a whole row; ``open_quotes="accept"``
+    takes such cells as they are. A row with surplus cells stops the read unless
+    ``surplus="drop"`` lets the extra cells go.
     """
     if surplus not in ("fail", "drop"):
         raise ValueError("surplus must be 'fail' or 'drop'")
+    if open_quotes not in ("fail", "accept"):
+        raise ValueError("open_quotes must be 'fail' or 'accept'")
+    if not _line_by_line(encoding):
+        multi_line = True
+    if ranks is None:
+        ranks = file_ranks(spark, path)
     if multi_line is None:
-        broken = files_with_line_breaks(spark, path)
+        broken = files_with_line_breaks(spark, path, open_quotes)
         if broken:
             files = [unquote(name) for name in spark.read.text(path).inputFiles()]
             whole = [name for name in files if _same_file(name) not in set(map(_same_file, broken))]
-            options = {"columns": columns, "surplus": surplus, "encoding": encoding}
+            options = {
+                "columns": columns,
+                "surplus": surplus,
+                "encoding": encoding,
+                "open_quotes": open_quotes,
+                "ranks": ranks,
+            }
             feed = read_feed(spark, broken, multi_line=True, **options)
             if whole:
                 plain = read_feed(spark, whole, multi_line=False, **options)
@@ -130,16 +209,23 @@ def read_feed(
         cell = F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))
         message = F.concat(F.lit("row with surplus cells at '"), cell, F.lit("': "), F.col(_BROKEN))
         rows = rows.filter(F.assert_true(~too_wide, message).isNull())
-
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    return rows.select(
+    if multi_line and open_quotes == "fail" and len(header) > 1:
+        swallowed = _holds_a_row(len(header), header)
+        message = F.concat(
+            F.lit("quote that is never closed, or a cell that holds a whole row, in "),
+            F.col("_metadata.file_path"), F.lit(": "), swallowed,
+        )
+        rows = rows.filter(F.assert_true(swallowed.isNull(), message).isNull())
+
+    rows = rows.select(
         *(blank_to_null(F.col(f"`{name}`")).alias(name) for name in header),
-        place.alias(SOURCE_ORDINAL),
+        F.col("_metadata.file_path").alias(_FILE),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
     )
+    rows, file = _place_of(rows, ranks)
+    place = F.struct(file.alias("file"), F.col("_block").alias("block"), F.col("_row").alias("row"))
+    return rows.select(*(F.col(f"`{name}`") for name in header), place.alias(SOURCE_ORDINAL))
 
 
 def read_customers(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -165,10 +251,11 @@ def head_of_feed(
     Starts with the first file and takes four times as many while rows are
     missing, which only files with hardly any rows make necessary.
     """
+    ranks = file_ranks(spark, path)
     files = sorted(unquote(name) for name in spark.read.text(path).inputFiles())
     taken = 1
     while True:
-        feed = read_feed(spark, files[:taken], columns, **options)
+        feed = read_feed(spark, files[:taken], columns, ranks=ranks, **options)
         if taken >= len(files) or feed.limit(n).count() == n:
             return preview_feed(feed, n)
         taken *= 4

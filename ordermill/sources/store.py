@@ -10,6 +10,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,7 @@ MONTH_COLUMN = "year_month"
 VALID_COLUMN = "is_valid"
 # A version's folder is named by its number; a file of this name says that it is whole and compared.
 VERSION_PREFIX, VERIFIED = "fact-", "_VERIFIED"
+COPY_BYTES = 4 << 20
 DATE_FORMAT = "yyyy-MM-dd"
 DATE_AND_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 # What the reader puts for a quoted empty cell, so that it differs from a missing one.
@@ -207,12 +210,17 @@ def verify_load(loaded: DataFrame, meant: DataFrame) -> DataFrame:
     ).withColumn("matches", F.col("rows_loaded") == F.col("rows_written"))
 
 
-def export_csv(sales: DataFrame, path: str, ordered: bool = True) -> None:
+def export_csv(
+    sales: DataFrame, path: str, ordered: bool = True, single_file: bool = False
+) -> None:
     """Replace a folder of CSV files with a header, in UTF-8.
 
     Files follow each other in date order. Dates are written without a time if
     all of them are at midnight, else all with one; that takes a pass of its own.
     Cells keep their blanks and line breaks; an empty text is quoted, a missing one is not.
+
+    ``single_file`` makes ``path`` one file with one header. Its parts are written by many tasks
+    and joined as files, see :func:`join_files`, so no task gets all rows.
     """
     rows = in_date_order(sales) if ordered else sales
     moment = F.col("order_date")
@@ -221,27 +229,73 @@ def export_csv(sales: DataFrame, path: str, ordered: bool = True) -> None:
         shown = F.date_format(moment, DATE_FORMAT)
     else:
         shown = F.date_format(moment, DATE_AND_TIME)
+    folder = f"{path}.parts-{uuid.uuid4().hex}" if single_file else path
     (
         rows.withColumn("order_date", shown)
         .write.mode("overwrite")
-        .option("header", True)
+        .option("header", not single_file)
         .option("escape", '"')
         .option("encoding", "UTF-8")
+        .option("compression", "none")
         .option("emptyValue", '""')
         .option("nullValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
+        .csv(folder)
     )
+    if single_file:
+        try:
+            join_files(sales.sparkSession, folder, path, ",".join(rows.columns) + "\n")
+        finally:
+            drop_folder(sales.sparkSession, folder)
+
+
+def join_files(spark: SparkSession, folder: str, path: str, header: str) -> None:
+    """Replace the file at ``path`` by a header and the part files of a folder, in their order.
+
+    A file system that can concatenate files (HDFS) makes the parts' blocks the file's. On others
+    bytes are copied from part to file through a buffer of a few megabytes, never rows.
+    The old file stays until the new one is whole.
+    """
+    jvm = spark._jvm
+    files, place = _file_system(spark, f"{folder}/part-*")
+    parts = [found.getPath() for found in files.globStatus(place) or []]
+    parts.sort(key=lambda part: int(part.getName().split("-")[1].split(".")[0]))
+    whole = jvm.org.apache.hadoop.fs.Path(f"{folder}/_whole")
+
+    def begin():
+        out = files.create(whole, True)
+        out.write(bytearray(header.encode("utf-8")))
+        return out
+
+    begin().close()
+    try:
+        listed = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts))
+        for number, part in enumerate(parts):
+            listed[number] = part
+        files.concat(whole, listed)
+    except (Py4JJavaError, PySparkException):
+        # Not every file system can, and those that can want blocks of one size.
+        out = begin()
+        for part in parts:
+            source = files.open(part)
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, COPY_BYTES, False)
+            source.close()
+        out.close()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files.delete(target, True)
+    if not files.rename(whole, target):
+        raise OSError(f"cannot move the joined file to {path}")
 
 
 def read_csv_export(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
-    """An exported folder with the fact's types.
+    """An exported folder, or single file, with the fact's types.
 
     ``multi_line=None`` looks for line breaks in cells first; files with them are not split.
     """
     if multi_line is None:
-        multi_line = has_line_breaks_in_cells(spark, path)
+        # What was exported closes its quotes, whatever its cells look like.
+        multi_line = has_line_breaks_in_cells(spark, path, open_quotes="accept")
     rows = (
         spark.read.schema(SALES_SCHEMA)
         .option("header", True)

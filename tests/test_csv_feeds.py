@@ -1,8 +1,13 @@
+import csv
+import io
+import random
+
 import pytest
 from helpers import values
 
 from ordermill.operators.clean import clean_customers
 from ordermill.schema import CUSTOMER_COLUMNS, SOURCE_ORDINAL
+from ordermill.sources import csv_feeds
 from ordermill.sources.csv_feeds import (
     has_line_breaks_in_cells,
     head_of_feed,
@@ -84,6 +89,81 @@ def test_a_quote_never_closed_is_refused(spark, write, row):
         read_customers(spark, path.rsplit("/", 1)[0])
 
 
+ROWS = [f"{c},{c.upper()},X,2022-01-0{n}" for n, c in enumerate("abcdefg", start=1)]
+
+
+@pytest.mark.parametrize(("first", "second"), [(1, 5), (1, 2), (0, 6)])
+@pytest.mark.parametrize("cell", ['"{},', '{},"'])
+def test_two_quotes_never_closed_are_refused(spark, write, first, second, cell):
+    rows = [cell.format(row[0]) + row[2:] if n in (first, second) else row for n, row in enumerate(ROWS)]
+    path = write(HEADER + "\n".join(rows) + "\n", "odd.csv")
+    with pytest.raises(ValueError, match="quote that is never closed in .*odd.csv"):
+        read_customers(spark, path)
+    taken = read_customers(spark, path, open_quotes="accept", surplus="drop").count()
+    assert taken < len(ROWS)
+
+
+def test_a_cell_that_holds_a_row_is_named(spark, write):
+    # Another file's quotes are in balance here, so only the cells tell.
+    path = write(HEADER + ROWS[0] + '\nb,"B,X,2022-01-02\nc,C,X,2022-01-03\nd,"D",X,2022-01-04\n"e",E,X,2022-01-05"\n', "odd.csv")
+    for options in ({"multi_line": True}, {}):
+        with pytest.raises(Exception, match="(?s)never closed.*odd.csv"):
+            read_customers(spark, path, surplus="drop", **options).collect()
+    listed = 'g,"G\none, two, three, four\nend",X,2022-01-07\n'
+    path = write(HEADER + ROWS[0] + "\n" + listed, "listed.csv")
+    with pytest.raises(Exception, match="(?s)holds a whole row.*listed.csv.*one, two, three, four"):
+        read_customers(spark, path).count()
+    assert cells(read_customers(spark, path, open_quotes="accept"))[1][1] == "G\none, two, three, four\nend"
+
+
+def test_whole_cells_over_lines_are_not_suspected(spark, write):
+    rnd = random.Random(7)
+    parts = ["word", '"', "\n", ", ", '""', "5\" x", "é", '",', ',"', " "]
+    rows = []
+    for n in range(300):
+        name = "".join(rnd.choice(parts) for _ in range(rnd.randint(1, 8)))
+        name = "\n".join(line.replace(",", "", max(0, line.count(",") - 2)) for line in name.split("\n"))
+        rows.append((f"c{n:03d}", name.strip() or "x", "two\nlines" if n % 9 == 0 else "X", "2022-01-01"))
+    text = io.StringIO()
+    csv.writer(text, lineterminator="\n").writerows([HEADER.strip().split(","), *rows])
+    path = write(text.getvalue(), "fine.csv")
+    # The balance of quotes is judged file by file, the cells as they are read.
+    assert cells(read_customers(spark, path)) == rows
+
+
+@pytest.mark.parametrize("encoding", ["UTF-16", "ISO-8859-1"])
+def test_other_encodings_keep_cells_that_span_lines(spark, tmp_path, encoding):
+    path = tmp_path / "feed.csv"
+    path.write_text(HEADER + 'a,"é\nü",X,2022-01-01\nb,ö,Y,2022-01-02\n', encoding=encoding)
+    feed = read_customers(spark, str(path), encoding=encoding)
+    assert cells(feed) == [("a", "é\nü", "X", "2022-01-01"), ("b", "ö", "Y", "2022-01-02")]
+
+
+def test_the_row_order_is_three_numbers(spark, write):
+    names = ["b c.csv", "a+b.csv", "z é.csv", "a.csv"]
+    for name in names:
+        path = write(HEADER + "".join(f"{name}{n},N,X,2022-01-01\n" for n in range(3)), f"many/{name}")
+    folder = path.rsplit("/", 1)[0]
+    for multi_line in (False, True, None):
+        feed = read_customers(spark, folder, multi_line=multi_line)
+        assert feed.schema[SOURCE_ORDINAL].dataType.simpleString() == "struct<file:int,block:bigint,row:bigint>"
+        found = [r[0] for r in values(feed.repartition(4).orderBy(SOURCE_ORDINAL), "customer_id")]
+        assert found == [f"{name}{n}" for name in sorted(names) for n in range(3)]
+    plan = clean_customers(feed)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+    assert exchanges and not any("file_path" in line or "_file" in line for line in exchanges)
+    single = read_customers(spark, f"{folder}/a.csv")
+    assert "Join" not in single._jdf.queryExecution().executedPlan().toString()
+
+
+def test_paths_too_many_to_hand_out_are_the_order_themselves(spark, write, monkeypatch):
+    monkeypatch.setattr(csv_feeds, "MOST_PATH_CHARACTERS", 10)
+    for number in range(3):
+        path = write(HEADER + f"c{number},N,X,2022-01-01\n", f"many/part-{number}.csv")
+    feed = read_customers(spark, path.rsplit("/", 1)[0])
+    assert [r[0] for r in values(feed.orderBy(SOURCE_ORDINAL), "customer_id")] == ["c0", "c1", "c2"]
+
+
 def test_a_stray_quote_in_a_cell_is_a_character(spark, write):
     path = write(HEADER + 'a,5" pipe,X,2022-01-01\nb,B,Y,2022-01-02\n')
     assert not has_line_breaks_in_cells(spark, path)

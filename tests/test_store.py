@@ -1,4 +1,6 @@
+import csv
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from helpers import fact, values
@@ -106,6 +108,50 @@ def test_export_in_date_order(spark, sales, tmp_path):
     assert dates[0] == "2023-01-01"
 
 
+def test_export_of_one_file(spark, sales, tmp_path):
+    names = ["  padded  ", "two\nlines", "", None, 'said "so", twice', " ", "a\\b"]
+    odd = fact(spark, *({"order_id": f"x{i}", "customer_name": n} for i, n in enumerate(names)))
+    rows = sales.unionByName(odd).repartition(6)
+    path = tmp_path / "sales.csv"
+    path.write_text("an old file")
+    store.export_csv(rows, str(path), single_file=True)
+    assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["sales.csv"]
+    with path.open(encoding="utf-8", newline="") as file:
+        lines = list(csv.reader(file))
+    assert lines[0] == list(SALES_COLUMNS) and len(lines) == 68 and lines.count(lines[0]) == 1
+    dates = [line[1] for line in lines[1:]]
+    assert dates == sorted(dates)
+    assert same(store.read_csv_export(spark, str(path)), rows)
+    folder = str(tmp_path / "folder")
+    store.export_csv(rows, folder)
+    assert same(store.read_csv_export(spark, folder), store.read_csv_export(spark, str(path)))
+    store.export_csv(sales.limit(0), str(path), single_file=True)
+    assert path.read_text(encoding="utf-8") == ",".join(SALES_COLUMNS) + "\n"
+
+
+def test_no_task_of_a_single_export_gets_all_rows(spark, sales, tmp_path, with_conf, monkeypatch):
+    with_conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    parts = []
+    real = store.join_files
+
+    def seen(spark, folder, path, header):
+        parts.extend(p.read_text(encoding="utf-8").count("\n") for p in Path(folder).glob("part-*"))
+        real(spark, folder, path, header)
+
+    monkeypatch.setattr(store, "join_files", seen)
+    store.export_csv(sales.repartition(4), str(tmp_path / "one.csv"), single_file=True)
+    assert sum(parts) == 60 and max(parts) < 30
+
+
+def test_parts_are_joined_by_number(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    for number in (99_999, 100_000, 7):
+        (folder / f"part-{number:05d}-x.csv").write_text(f"{number}\n")
+    store.join_files(spark, str(folder), str(tmp_path / "one.csv"), "n\n")
+    assert (tmp_path / "one.csv").read_text() == "n\n7\n99999\n100000\n"
+
+
 def test_export_keeps_times(spark, tmp_path):
     path = str(tmp_path / "export")
     moments = [datetime(2023, 1, 5), datetime(2023, 1, 5, 7, 8, 9), datetime(2023, 1, 5, 7, 8, 9, 120)]
