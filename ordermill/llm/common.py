@@ -22,6 +22,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def private_name(frame: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, whatever case it writes names in."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 class Scratch:
     """Written tables in the shared folder: a lost executor costs no recomputation of what is in them."""
 
