@@ -226,8 +226,8 @@ class Distance:
         # Tables with a place for every byte of the dictionary, and a window that reaches over all of it.
         log = max(10, len(content).bit_length())
         settings = zstandard.ZstdCompressionParameters(
-            format=zstandard.FORMAT_ZSTD1_MAGICLESS, strategy=zstandard.STRATEGY_GREEDY, window_log=log + 2, hash_log=log,
-            chain_log=log, search_log=4, min_match=6, write_content_size=0, write_checksum=0, write_dict_id=0,
+            format=zstandard.FORMAT_ZSTD1_MAGICLESS, strategy=zstandard.STRATEGY_BTLAZY2, window_log=log + 2, hash_log=log,
+            chain_log=log + 1, search_log=6, min_match=6, write_content_size=0, write_checksum=0, write_dict_id=0,
         )
         held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         held.precompute_compress(compression_params=settings)
