@@ -7,10 +7,12 @@ the first with one of the second. Each has as many keys as it takes for a link t
 miss all tables with a probability below 0.0001: eight at 0.85 (32 minhashes
 make 64 tables of four), ten at 0.8.
 
-Nodes joined by shared buckets form a cluster; its full sets are compared block
-against block: intersections of a block are one product of 0/1 matrices in its task,
-and what leaves the task is a spanning forest of the links found, never pairs. So no
-pair that shares a bucket is lost, and rows grow with the members of a group.
+Nodes joined by shared buckets form a cluster. Each is first compared with the least
+node of its buckets, which joins most near copies. Of a cluster that this leaves in
+parts, all parts but the largest are compared with everything, block against block: intersections
+of a block are one product of 0/1 matrices in its task, and what leaves the task is a spanning forest of the
+links found, never pairs. So no pair that shares a bucket is lost, and rows grow with
+the members of a group, and with its size times those that are not near its largest part.
 """
 
 from __future__ import annotations
@@ -20,11 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import mix, span_hashes, text_groups
-from ordermill.session import scratch_path
+from ordermill.llm.common import Scratch, mix, span_hashes, text_groups
 
 SHINGLE = 5
 # Least similarity of a link, unless a caller says otherwise.
@@ -85,19 +86,6 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-class _Scratch:
-    """Written tables in the shared folder: a lost executor costs no recomputation of what is in them."""
-
-    def __init__(self, spark: SparkSession) -> None:
-        self.spark, self.root, self.count = spark, scratch_path(spark, "near-duplicates"), 0
-
-    def keep(self, frame: DataFrame) -> DataFrame:
-        self.count += 1
-        path = f"{self.root}/{self.count}"
-        frame.write.parquet(path)
-        return self.spark.read.schema(frame.schema).parquet(path)
-
-
 def short_keys(shingles: np.ndarray, odd: np.ndarray, xor: np.ndarray) -> np.ndarray:
     """The short keys of a set, from minhashes with the given multipliers and masks."""
     least = np.full(len(odd), ~np.uint64(0))
@@ -110,55 +98,57 @@ def short_keys(shingles: np.ndarray, odd: np.ndarray, xor: np.ndarray) -> np.nda
     return short.view(np.int64)
 
 
+def set_id(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def _signatures(keys: int):
     seeds = np.random.Generator(np.random.PCG64(977)).integers(0, 2**64, (2, 2 * keys * DEPTH), np.uint64)
     odd, xor = seeds[0] | np.uint64(1), seeds[1]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, data, offsets in text_groups(batch.column(1)):
+            for first, last, data, offsets in text_groups(batch.column(2)):
                 sizes, ids, short = [], [], []
                 for shingles in shingle_sets(data, offsets):
                     sizes.append(len(shingles))
-                    ids.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
+                    ids.append(set_id(shingles) if len(shingles) else None)
                     short.append(short_keys(shingles, odd, xor))
                 shorts = np.array(short).reshape(-1, 2 * keys).T
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(first, last - first),
+                        *(batch.column(i).slice(first, last - first) for i in range(2)),
                         pa.array(sizes, pa.int64()),
                         pa.array(ids, pa.binary()),
                         *(pa.array(np.ascontiguousarray(column)) for column in shorts),
                     ],
-                    ["key", "n_shingles", "set_id", *short_names(keys)],
+                    ["row", "key", "n_shingles", "set_id", *short_names(keys)],
                 )
 
     return work
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of texts, if they are the sets that they are fetched for."""
     for batch in batches:
         for first, last, data, offsets in text_groups(batch.column(1)):
-            sets = list(shingle_sets(data, offsets))
+            wanted = batch.column(0).slice(first, last - first).to_pylist()
+            found = [(name, s) for name, s in zip(wanted, shingle_sets(data, offsets), strict=True) if set_id(s) == name]
+            sets = [s for _, s in found]
             bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(first, last - first),
-                    pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(sets).view(np.int64))),
-                ],
-                ["set_id", "shingles"],
-            )
-
-
-def signatures(documents: DataFrame, key: str, text: str, keys: int) -> DataFrame:
-    """Per row: key, size and digest of its set (null if empty), and the short keys."""
-    chosen = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    kind = chosen.schema["key"].dataType.simpleString()
+            values = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))
+            yield pa.RecordBatch.from_arrays([pa.array([name for name, _ in found], pa.binary()), lists], ["set_id", "shingles"])
+
+
+def signatures(rows: DataFrame, keys: int) -> DataFrame:
+    """Per row: its number, key, size and digest of its set (null if empty), and the short keys."""
+    kind = rows.schema["key"].dataType.simpleString()
     shorts = ", ".join(f"{name} bigint" for name in short_names(keys))
-    return chosen.mapInArrow(_signatures(keys), f"key {kind}, n_shingles bigint, set_id binary, {shorts}")
+    return rows.mapInArrow(_signatures(keys), f"row bigint, key {kind}, n_shingles bigint, set_id binary, {shorts}")
 
 
-def table_keys(nodes: DataFrame, scratch: _Scratch, keys: int) -> DataFrame:
+def table_keys(nodes: DataFrame, scratch: Scratch, keys: int) -> DataFrame:
     """Rows (bucket, set_id) of all buckets that can have two members.
 
     A table key is shared only if both its short keys are, so short keys that one
@@ -178,17 +168,17 @@ def table_keys(nodes: DataFrame, scratch: _Scratch, keys: int) -> DataFrame:
     return paired.select(F.xxhash64("a.slot", "a.short", "b.slot", "b.short").alias("bucket"), "set_id")
 
 
-def star_pairs(buckets: DataFrame, scratch: _Scratch) -> DataFrame:
+def star_pairs(buckets: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) that join the members of every bucket, about as many as there are nodes.
 
-    A node is joined to the least of its buckets' least members, and that one to
-    the others; these are few, as the members of a group share them.
+    A node ``b`` is joined to the least of its buckets' least members, ``a`` (the first frame), and that one to
+    the others (the second); these are few, as the members of a group share them.
     """
     anchors = scratch.keep(buckets.groupBy("bucket").agg(F.min("set_id").alias("a")))
     pairs = scratch.keep(buckets.join(anchors, "bucket").where("a != set_id").select("a", F.col("set_id").alias("b")).distinct())
     least = scratch.keep(pairs.groupBy("b").agg(F.min("a").alias("least")))
     others = pairs.join(least, "b").where("a != least").select(F.col("least").alias("a"), F.col("a").alias("b")).distinct()
-    return least.select(F.col("least").alias("a"), "b").union(others)
+    return least.select(F.col("least").alias("a"), "b"), others
 
 
 def linked(left: list[np.ndarray], right: list[np.ndarray], similarity: int = SIMILARITY_PERCENT) -> np.ndarray:
@@ -267,17 +257,45 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch], similarity: int) -> Itera
         yield compare()
 
 
+def compared(rows: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) that join what is linked within each (cluster, i, j) of (cluster, i, j, side, set_id)."""
+    rows = rows.join(sets, "set_id").select("cluster", "i", "j", "side", "set_id", "shingles")
+    rows = rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    return rows.mapInArrow(lambda batches: _compare_blocks(batches, similarity), "a binary, b binary")
+
+
+def star_links(stars: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Links of nodes ``b`` to the one node ``a`` each has in ``stars``; a node with many is met by blocks of them."""
+    blocks = stars.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = stars.join(blocks, "a").withColumn("j", 1 + F.pmod(F.xxhash64("b"), "blocks").cast("int"))
+    rows = rows.select(F.col("a").alias("cluster"), F.lit(0).alias("i"), "j", F.col("j").alias("side"), F.col("b").alias("set_id"))
+    each = blocks.select("a", F.explode(F.sequence(F.lit(1), F.col("blocks"))).alias("j"))
+    centres = each.select(F.col("a").alias("cluster"), F.lit(0).alias("i"), "j", F.lit(0).alias("side"), F.col("a").alias("set_id"))
+    return compared(rows.union(centres), sets, similarity)
+
+
 def block_links(clusters: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Links (a, b) that join all that is linked within clusters; ``clusters`` has (set_id, cluster)."""
-    blocks = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = clusters.join(blocks, "cluster").withColumn("side", F.pmod(F.xxhash64("set_id"), "blocks").cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    """Links (a, b) that join all that is linked within clusters of (set_id, cluster, part).
+
+    Members of the largest part are known to be joined; all others are compared with all members.
+    """
+    parts = clusters.groupBy("cluster", "part").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("cluster").agg(F.sum("n").alias("all"), F.max(F.struct("n", "part")).alias("largest")).select(
+        "cluster", F.col("largest.part").alias("largest"),
+        F.ceil(F.col("largest.n") / BLOCK).cast("int").alias("inner"),
+        F.ceil((F.col("all") - F.col("largest.n")) / BLOCK).cast("int").alias("outer"),
+    )
+    rows = clusters.join(sizes.where("outer > 0"), "cluster")
+    is_inner, last = F.col("part") == F.col("largest"), F.col("inner") + F.col("outer") - 1
+    hashed = F.xxhash64("set_id")
+    side = F.when(is_inner, F.pmod(hashed, "inner")).otherwise(F.col("inner") + F.pmod(hashed, "outer")).cast("int")
+    others = F.sequence(F.when(is_inner, F.col("inner")).otherwise(0), last)
+    rows = rows.withColumn("side", side).withColumn("other", F.explode(others))
     rows = rows.select("cluster", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "set_id")
-    rows = rows.join(sets, "set_id").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    return rows.mapInArrow(lambda batches: _compare_blocks(batches, similarity), "a binary, b binary")
+    return compared(rows, sets, similarity)
 
 
-def components(links: DataFrame, scratch: _Scratch) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(set_id, label) of every linked node: the least set_id that it reaches.
 
     Labels fall to the least of the neighbours' and then to the label's own label,
@@ -302,37 +320,54 @@ def near_duplicates(
 
     Sets are linked from a Jaccard similarity of ``similarity`` percent on.
     A null, empty or blank text has no shingles and stands alone; of several such
-    rows each keeps its own key. Repeated rows are linked like any equal texts; a
-    row is kept if its key is the component's. Null keys are never a component's
+    rows each keeps its own key. Rows are told apart by their number, whatever their keys: rows without a
+    key and rows that share one are linked like all others, each by its own text. A
+    row is kept if its key is the component's, null if no row of it has a key. Null keys are never a component's
     least. Texts are read whole; other columns are not used. An empty table gives no rows.
+
+    Texts are read twice and numbered as they come; if they do not come in the same order again (their
+    sets show that), they are written with their numbers first.
     """
-    spark = documents.sparkSession
-    scratch = _Scratch(spark)
-    per_side = collection_size(similarity)
-    signed = scratch.keep(signatures(documents, key, text, per_side))
-    some = signed.where("set_id is not null")
-    nodes = some.groupBy("set_id").agg(
-        F.min("key").alias("least_key"), F.max("n_shingles").alias("n_shingles"), *(F.max(name).alias(name) for name in short_names(per_side))
+    scratch = Scratch(documents.sparkSession, "near-duplicates")
+    rows = documents.select(
+        F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).cast("string").alias("text")
     )
-    nodes = scratch.keep(nodes)
-    keys = scratch.keep(table_keys(nodes, scratch, per_side))
-    shared = scratch.keep(keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"))
-    buckets = scratch.keep(keys.join(shared, "bucket"))
-
-    # Full sets of the nodes in some bucket, each from one row that has it.
-    wanted = buckets.select("set_id").distinct().join(nodes.select("set_id", F.col("least_key").alias("key")), "set_id")
-    texts = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    source = some.select("key", "set_id").join(wanted.select("key", "set_id"), ["key", "set_id"], "left_semi").distinct()
-    chosen = texts.join(source.hint("shuffle_hash"), "key").select("set_id", "text")
-    sets = chosen.mapInArrow(_full_sets, "set_id binary, shingles array<bigint>")
-    sets = scratch.keep(sets)
-
-    clusters = components(star_pairs(buckets, scratch), scratch).withColumnRenamed("label", "cluster")
-    labels = components(scratch.keep(block_links(clusters, sets, similarity)), scratch)
+    signed, nodes, buckets, sets = candidates(rows, similarity, scratch)
+    if sets is None:
+        signed, nodes, buckets, sets = candidates(scratch.keep(rows), similarity, scratch)
+
+    stars, others = star_pairs(buckets, scratch)
+    clusters = components(stars.union(others), scratch).withColumnRenamed("label", "cluster")
+    links = scratch.keep(star_links(stars, sets, similarity))
+    parts = components(links, scratch).withColumnRenamed("label", "part")
+    known = clusters.join(parts, "set_id", "left").withColumn("part", F.coalesce("part", "set_id"))
+    more = scratch.keep(block_links(scratch.keep(known), sets, similarity))
+    labels = components(links.union(more), scratch)
 
     rooted = nodes.select("set_id", "least_key").join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     least = rooted.groupBy("label").agg(F.min("least_key").alias("component_id"))
     named = rooted.join(least, "label").select("set_id", "component_id")
     out = signed.select("key", "n_shingles", "set_id").join(named, "set_id", "left")
-    component = F.coalesce("component_id", "key")
+    # Only a row without shingles is its own component; a component without keys has none.
+    component = F.when(F.col("set_id").isNull(), F.col("key")).otherwise(F.col("component_id"))
     return out.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), F.col("key").eqNullSafe(component).alias("kept"))
+
+
+def candidates(rows: DataFrame, similarity: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
+    """Signed rows, nodes, buckets with two members, and the nodes' full sets in them, all written.
+
+    There are no sets if numbers told other texts apart when read again.
+    """
+    per_side = collection_size(similarity)
+    signed = scratch.keep(signatures(rows, per_side))
+    shorts = (F.max(name).alias(name) for name in short_names(per_side))
+    nodes = signed.where("set_id is not null").groupBy("set_id").agg(F.min("row").alias("row"), F.min("key").alias("least_key"), *shorts)
+    nodes = scratch.keep(nodes)
+    keys = scratch.keep(table_keys(nodes, scratch, per_side))
+    shared = scratch.keep(keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"))
+    buckets = scratch.keep(keys.join(shared, "bucket"))
+    # Full sets of the nodes in some bucket, each from one row that has it.
+    wanted = scratch.keep(buckets.select("set_id").distinct().join(nodes.select("set_id", "row"), "set_id"))
+    chosen = rows.select("row", "text").join(wanted.hint("shuffle_hash"), "row").select("set_id", "text")
+    sets = scratch.keep(chosen.mapInArrow(_full_sets, "set_id binary, shingles array<bigint>"))
+    return signed, nodes, buckets, sets if sets.count() == wanted.count() else None

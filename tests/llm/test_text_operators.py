@@ -323,3 +323,93 @@ def test_token_files_spread_rows_of_one_key(spark, tmp_path, with_conf):
     keys = [r.doc_id or "" for r in got]
     assert keys == sorted(keys) and len(got) == 900
     assert [r.start for r in got] == [sum(r.n_tokens for r in got[:i]) for i in range(900)]
+
+
+def chain(rnd, share=0.05):
+    """Three texts, each 0.9 alike to the next; the first and the last are not linked."""
+    first = words(rnd, 200, "abcdefghij").split()
+    second, third = list(first), []
+    second[40] = second[90] = "changed"
+    third = list(second)
+    third[130] = third[170] = "other"
+    return [" ".join(x) for x in (first, second, third)]
+
+
+def near_rows(spark, rows):
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = near_duplicates.near_duplicates(table).collect()
+    return sorted(((r.doc_id, r.component_id, r.kept) for r in got), key=str)
+
+
+def test_rows_without_a_key_carry_links(spark):
+    one, middle, two = chain(random.Random(41))
+    assert near_rows(spark, [(1, one), (None, middle), (2, two)]) == [(1, 1, True), (2, 1, False), (None, 1, False)]
+    alone = near_rows(spark, [(None, one), (None, one), (None, middle), (5, words(random.Random(1), 80))])
+    assert alone == [(5, 5, True)] + [(None, None, True)] * 3
+
+
+def test_rows_that_share_a_key_are_judged_by_their_own_texts(spark):
+    rnd = random.Random(42)
+    base = words(rnd, 150, "abcdefghij")
+    other = words(rnd, 150, "klmnopqrst")
+    near = base.split()
+    near[70] = "changed"
+    got = near_rows(spark, [(4, other), (4, base), (1, " ".join(near)), (2, other + " end")])
+    # The text near B is linked with B alone, the one near A with A alone; both go by the key they share.
+    assert got == [(1, 1, True), (2, 2, True), (4, 1, False), (4, 2, False)]
+    half = " ".join(base.split()[:75] + other.split()[:75])
+    assert near_rows(spark, [(4, base), (4, other), (1, half)]) == [(1, 1, True), (4, 4, True), (4, 4, True)]
+
+
+def test_rows_that_come_in_another_order_are_written_first(spark, monkeypatch):
+    one, middle, two = chain(random.Random(43))
+    rows = [(i, f"{text} {words(random.Random(i), 3)}") for i, text in enumerate([one, middle, two] * 6)]
+    want = near_rows(spark, rows)
+    real, calls = near_duplicates.candidates, []
+
+    def shuffled(given, similarity, scratch):
+        calls.append(1)
+        if len(calls) == 1:
+            return (None,) * 4
+        return real(given, similarity, scratch)
+
+    monkeypatch.setattr(near_duplicates, "candidates", shuffled)
+    assert near_rows(spark, rows) == want and len(calls) == 2
+    monkeypatch.setattr(near_duplicates, "candidates", real)
+    monkeypatch.setattr(near_duplicates, "set_id", lambda s, n=[0]: n.__setitem__(0, n[0] + 1) or str(n[0]).encode())
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    numbered = table.selectExpr("doc_id as row", "doc_id as key", "text")
+    assert near_duplicates.candidates(numbered, 85, near_duplicates.Scratch(spark, "test"))[3] is None
+
+
+def test_clusters_in_parts_are_compared_with_everything(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK", 4)
+    rnd = random.Random(44)
+    rows = []
+    for group in range(4):
+        base = words(rnd, 120, "abcdefghij").split()
+        for step in range(25):
+            # A drift: neighbours are alike, ends are not.
+            base = list(base)
+            base[rnd.randrange(120)] = f"w{group}-{step}"
+            rows.append((len(rows), " ".join(base)))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = near_duplicates.near_duplicates(table).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(plain_components(rows))
+
+
+def test_near_copies_of_one_text_are_not_compared_in_pairs(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK", 16)
+    rnd = random.Random(45)
+    base = words(rnd, 150, "abcdefghij").split()
+    rows = [(0, " ".join(base))]
+    for i in range(1, 200):
+        near = list(base)
+        near[rnd.randrange(150)] = f"changed{i}"
+        rows.append((i, " ".join(near)))
+    compared, real = [], near_duplicates.compared
+    monkeypatch.setattr(near_duplicates, "compared", lambda rows, *rest: compared.append(rows) or real(rows, *rest))
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.component_id for r in got} == {0}
+    # One row for each member and one for each block's centre; after that only what is not in the largest part.
+    assert compared[0].count() <= 200 + 60 and compared[1].count() < 400
