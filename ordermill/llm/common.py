@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,18 @@ def private_name(frame: DataFrame, name: str) -> str:
     return name
 
 
+def set_aside(frame: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The frame with columns of these names called otherwise, and what gives a frame its columns back by their names."""
+    own = {name.lower() for name in names}
+    moved = {c: private_name(frame, f"kept_{i}") for i, c in enumerate(frame.columns) if c.lower() in own}
+    renamed = frame.withColumnsRenamed(moved)
+
+    def restore(other: DataFrame) -> DataFrame:
+        return other.select(*(other[f"`{moved.get(c, c)}`"].alias(c) for c in frame.columns))
+
+    return renamed, restore
+
+
 class Scratch:
     """Written tables in the shared folder: a lost executor costs no recomputation of what is in them."""
 

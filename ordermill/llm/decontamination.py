@@ -25,6 +25,8 @@ from ordermill.session import scratch_path
 WINDOW = 10
 # Bytes of benchmark text in one automaton: about 150 MB as patterns in a worker.
 BLOCK_BYTES = 1 << 20
+# Longer items come in parts of so many bytes: a word has a letter of its own in a block, and there are 1.1 million.
+PART_BYTES = 2 << 20
 
 # Fixed value: what a word is made of, after A-Z are lower-cased.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -141,25 +143,42 @@ def _scan(items: list[tuple[str | None, str | None]], window: int, name: str):
     return work
 
 
-def benchmark_blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[str | None, str | None]]]:
+def benchmark_blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int, window: int) -> Iterator[list[tuple[str | None, str | None]]]:
     """The benchmark in blocks of at most ``block_bytes`` (a longer item is a block of its own).
 
-    Only one block at a time is held by the driver; items are in order.
+    Very long items come in parts that share all but one word of a window, so that each window is in one. Only one block at a time is held by the driver; items are in order.
     """
     rows = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).cast("string").alias("t"))
     rows = rows.where(F.col("t").isNotNull()).dropDuplicates().orderBy("i", "t")
     block: list[tuple[str | None, str | None]] = []
     size = 0
     for row in rows.toLocalIterator():
-        length = len(row.t.encode())
-        if block and size + length > block_bytes:
-            yield block
-            block, size = [], 0
-        block.append((row.i, row.t))
-        size += length
+        for part in item_parts(row.t, window, max(PART_BYTES, block_bytes)):
+            length = len(part.encode())
+            if block and size + length > block_bytes:
+                yield block
+                block, size = [], 0
+            block.append((row.i, part))
+            size += length
     yield block
 
 
+def item_parts(text: str, window: int, most: int) -> Iterator[str]:
+    """An item's text, or if it has more bytes than that its words in parts that have the same windows."""
+    if len(text.encode()) <= most:
+        yield text
+        return
+    words = words_of(text)
+    first = size = 0
+    for last in range(len(words)):
+        size += len(words[last]) + 1
+        if size > most and last - first >= window:
+            yield b" ".join(words[first:last]).decode()
+            first = last - window + 1
+            size = sum(len(word) + 1 for word in words[first : last + 1])
+    yield b" ".join(words[first:]).decode()
+
+
 def find_contamination(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -180,7 +199,7 @@ def find_contamination(
     out = documents.drop(*outputs, "_text").withColumn("_text", F.col(text).cast("string"))
     out = out.withColumns({"n_words": F.lit(0).cast("bigint"), "hits": F.lit(None).cast("array<struct<first: bigint, last: bigint>>"), "items": F.lit(None).cast("array<string>")})
     schema = out.schema
-    blocks = benchmark_blocks(benchmark, item, item_text, block_bytes)
+    blocks = benchmark_blocks(benchmark, item, item_text, block_bytes, window)
     for number, block in enumerate(blocks):
         if number:
             # Each automaton leaves the worker before the next is built.

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import Scratch, mix, span_hashes, text_groups
+from ordermill.llm.common import Scratch, mix, private_name, span_hashes, text_groups
 
 SHINGLE = 5
 # Least similarity of a link, unless a caller says otherwise.
@@ -371,3 +371,18 @@ def candidates(rows: DataFrame, similarity: int, scratch: Scratch) -> tuple[Data
     chosen = rows.select("row", "text").join(wanted.hint("shuffle_hash"), "row").select("set_id", "text")
     sets = scratch.keep(chosen.mapInArrow(_full_sets, "set_id binary, shingles array<bigint>"))
     return signed, nodes, buckets, sets if sets.count() == wanted.count() else None
+
+
+def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text", similarity: int = SIMILARITY_PERCENT) -> DataFrame:
+    """One row of each component with all its columns: the least key, rows without one last, of equal keys the first row.
+
+    Rows are written with a number, judged and kept by it, so that null and repeated keys do no harm. Rows
+    without shingles are no component and stay, each of them.
+    """
+    number = private_name(documents, "row")
+    numbered = Scratch(documents.sparkSession, "near-duplicate-rows").keep(documents.withColumn(number, F.monotonically_increasing_id()))
+    judged = near_duplicates(numbered, number, text, similarity).select(number, "component_id")
+    order = F.struct(F.col(key).isNull(), F.col(key), F.col(number).alias("number"))
+    best = judged.join(numbered.select(key, number), number).groupBy("component_id").agg(F.min(order).alias("best"))
+    kept = best.select(F.col("best.number").alias(number))
+    return numbered.join(kept, number, "left_semi").select(*documents.columns)

@@ -48,6 +48,7 @@ def test_every_stage(spark, table):
     assert clean == sorted(r for r in rows if r[0] % 6 or r[0] >= 400)
     single = after("near_duplicates", clean)
     groups = {key: least for key, _, least in plain_components([r[:2] for r in clean])}
+    # Rows without words are no group: each stays.
     assert single == sorted({r for r in clean if groups[r[0]] == r[0]})
     assert {14, 16} & {r[0] for r in single} == set()
     unseen = after("decontamination", single)
@@ -82,3 +83,26 @@ def test_near_duplicates_of_eighty_percent_are_dropped(spark, table):
     rows = [(1, " ".join(base), "en", "s", 1), (2, " ".join(near), "en", "s", 1), (3, " ".join(far), "en", "s", 1)]
     kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, spark.createDataFrame(rows, COLUMNS), table[0])
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def test_rows_without_an_id_are_judged_by_their_texts(spark, table):
+    rnd = random.Random(32)
+    text, other = words(rnd, 90, "abcdeghio"), words(rnd, 90, "abcdeghio")
+    rows = [(7, text, "en", "s", 1), (None, text, "en", "s", 1), (None, text + " more", "de", "t", 2), (3, text, "en", "s", 1)]
+    rows += [(None, other, "en", "s", 1), (None, other, "en", "s", 1), (None, None, "en", "s", 1), (None, "", "en", "s", 1)]
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    kept = sorted(map(tuple, stage(spark, spark.createDataFrame(rows, COLUMNS), table[0]).collect()), key=str)
+    assert kept == sorted([rows[3], rows[4], rows[6], rows[7]], key=str)
+
+
+def test_stages_keep_columns_of_any_name(spark, table):
+    folder, rows, _ = table
+    names = ["_id", "items", "hits", "n_words", "spans", "blob_id", "_found", "row", "set_id", "component_id", "windows", "Hits_", "kept", "_text"]
+    extra = [(*row, *(f"{name} {row[0]}" for name in names)) for row in rows if row[0] is not None]
+    given = spark.createDataFrame(extra, COLUMNS + "".join(f", `{name}` string" for name in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, given, folder)
+        assert found.columns == given.columns, name
+        got = found.collect()
+        assert got and all(tuple(r)[5:] == tuple(f"{c} {r.doc_id}" for c in names) for r in got), name
+    assert corpus_pipeline.STAGES[-1][1](spark, given, folder).count() > 0

@@ -413,3 +413,28 @@ def test_near_copies_of_one_text_are_not_compared_in_pairs(spark, monkeypatch):
     assert {r.component_id for r in got} == {0}
     # One row for each member and one for each block's centre; after that only what is not in the largest part.
     assert compared[0].count() <= 200 + 60 and compared[1].count() < 400
+
+
+def test_long_items_come_in_parts_with_the_same_windows():
+    rnd = random.Random(51)
+    for _ in range(200):
+        text = words(rnd, rnd.randint(1, 60))
+        window, most = rnd.randint(1, 10), rnd.randint(10, 120)
+        parts = list(decontamination.item_parts(text, window, most))
+        plain = decontamination.words_of(text)
+        if len(text) <= most:
+            assert parts == [text]
+            continue
+        cut = [decontamination.words_of(p) for p in parts]
+        have = {tuple(c[i : i + window]) for c in cut for i in range(max(1, len(c) - window + 1))}
+        assert have == {tuple(plain[i : i + window]) for i in range(max(1, len(plain) - window + 1))}
+
+
+def test_a_long_item_is_found_by_its_parts(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "PART_BYTES", 400)
+    many = [f"{i:x}" for i in range(300)]
+    items = spark.createDataFrame([(1, " ".join(many))], "item_id bigint, text string")
+    assert len(list(decontamination.benchmark_blocks(items, "item_id", "text", 400, 10))) > 2
+    docs = spark.createDataFrame([(i, "x " + " ".join(many[i : i + 10]) + " y") for i in range(280)] + [(999, " ".join(many[5:14]))], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in decontamination.find_contamination(docs, items, block_bytes=400).collect()}
+    assert all([tuple(h) for h in found[i].hits] == [(1, 11)] and found[i]["items"] == ["1"] for i in range(280)) and found[999].hits == []
