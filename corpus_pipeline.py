@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import decontamination, near_duplicates, packing, secrets, toxicity
-from ordermill.llm.common import read_table
+from ordermill.llm.common import read_table, set_aside
 from ordermill.session import scratch_path
 
 # Least share of common five-word shingles for two documents to be near duplicates.
@@ -24,27 +24,27 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least doc_id; rows repeated in full count once.
+    """One row of each group of near duplicates, the one with the least doc_id (rows without one come last).
 
-    Documents without words are no group and stay.
+    Rows are judged by their own texts, whatever their ids. Documents without words are no group and stay.
     """
-    judged = near_duplicates.near_duplicates(docs, similarity=SIMILARITY_PERCENT)
-    kept = judged.where("kept").select(F.col("doc_id").alias("_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi").distinct()
+    return near_duplicates.one_of_each(docs, similarity=SIMILARITY_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    found = decontamination.find_contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("hits") == 0).select(*docs.columns)
+    rows, restore = set_aside(docs, "n_words", "hits", "items", "_text")
+    found = decontamination.find_contamination(rows, read_table(spark, sf_dir, "benchmark"))
+    return restore(found.where(F.size("hits") == 0))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with each secret replaced by a mark and n_chars brought up to date."""
-    ledger = secrets.update_ledger(spark, docs, scratch_path(spark, "secret-ledger"))
-    clean = secrets.redact(secrets.findings(docs, ledger))
+    rows, restore = set_aside(docs, "spans", "blob_id", "_found")
+    ledger = secrets.update_ledger(spark, rows, scratch_path(spark, "secret-ledger"))
+    clean = secrets.redact(secrets.findings(rows, ledger))
     n_chars = F.when(F.size("spans") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return clean.withColumn("n_chars", n_chars).select(*docs.columns)
+    return restore(clean.withColumn("n_chars", n_chars))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
