@@ -188,9 +188,32 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM least LEFT JOIN sizes USING (doc_id)
 """
 
+_OP10 = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (
+  SELECT doc_id, p, hash(substr(h, 2 * p + 1, 800)) AS w
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399)) AS p FROM docs)
+), shared AS (SELECT w FROM starts GROUP BY w HAVING count(*) > 1),
+hits AS (SELECT doc_id, p FROM starts SEMI JOIN shared USING (w)),
+marked AS (
+  SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 400 THEN 0 ELSE 1 END AS fresh FROM hits
+), numbered AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked),
+runs AS (SELECT doc_id, run, min(p) AS a, max(p) + 400 AS b FROM numbered GROUP BY doc_id, run),
+before AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS begin_at FROM runs),
+cut AS (
+  SELECT doc_id, any_value(h) AS h, sum(b - a) AS removed, count(*) AS spans, max(b) AS last,
+         string_agg(substr(h, 2 * begin_at + 1, 2 * (a - begin_at)), '' ORDER BY a) AS kept
+  FROM before JOIN docs USING (doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, length(d.h) // 2 AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN removed IS NULL THEN d.h ELSE kept || substr(d.h, 2 * last + 1) END)) AS kept_sha256, removed IS NOT NULL AS has_repeats
+FROM docs d LEFT JOIN cut USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": _OP3,
     "op4_near_duplicates": _OP4,
     "op8_url_reputation": _OP8,
+    "op10_repeats": _OP10,
     "op12_merkle_manifest": manifest_sql(),
 }

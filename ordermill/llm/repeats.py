@@ -178,6 +178,7 @@ class _Tables:
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark, self.root, self.count = spark, scratch_path(spark, "repeats"), 0
+        self.name = f"repeats_{uuid.uuid4().hex}"
 
     def keep(self, frame: DataFrame) -> DataFrame:
         self.count += 1
@@ -186,12 +187,15 @@ class _Tables:
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def by_row(self, texts: DataFrame) -> DataFrame:
-        """Texts laid out by row number, so that later joins on it need not move them."""
-        name = f"repeats_{uuid.uuid4().hex}"
+        """Texts laid out by row number, so that later joins on it need not move them; :meth:`drop` takes them away."""
+        name = self.name
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         texts.repartition(parts, "rid").write.bucketBy(parts, "rid").option("compression", "zstd").saveAsTable(name)
         return self.spark.table(name)
 
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
 
 def _refine(rows: DataFrame, tables: _Tables) -> tuple[DataFrame, DataFrame]:
     """Of ``rows`` in shared buckets: those repeated as a whole, and one of each kind where kinds differ.
@@ -282,6 +286,9 @@ def find_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text",
     lists = found.groupBy("rid").agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
     joined = texts.join(lists, "rid", "left").select("key", "text", "ranges")
     out = joined.mapInArrow(_cut(window), f"key {kind}, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>, kept_sha256 string")
+    # Spans are small; once they are written the copy of the texts is no longer needed.
+    out = tables.keep(out)
+    tables.drop()
     return out.withColumnRenamed("key", key)
 
 
@@ -290,4 +297,8 @@ def removed_bytes() -> Column:
 
 
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
-    return found.select(key, "n_bytes", removed_bytes().alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+    """Counts of bytes, removed bytes and spans, the hash of what is left, and whether anything is removed."""
+    removed = removed_bytes()
+    return found.select(
+        key, "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256", (removed > 0).alias("has_repeats")
+    )

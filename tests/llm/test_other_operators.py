@@ -41,7 +41,7 @@ def test_neighbours_against_all_pairs(spark):
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, rank int")
     good = {r.vec_id: r.embedding for r in table.where("vec_id < 400").collect()}
     got = {}
-    for r in neighbours.nearest(table, leaf=32).collect():
+    for r in neighbours.nearest(table, leaf=32, times=30).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     assert set(got) == {i for i in good if i % 20 == 0}
     for query, found in got.items():
@@ -54,18 +54,50 @@ def test_neighbours_against_all_pairs(spark):
     assert neighbours.nearest(table.limit(0)).count() == 0
 
 
-def test_recall_on_the_table(spark, medium):
+def recall(ids, points, found):
     import numpy as np
 
-    rows = spark.read.parquet(f"{medium}/embeddings.parquet").collect()
-    ids, points = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
-    found = {(r.query_id, r.vec_id) for r in neighbours.nearest(spark.read.parquet(f"{medium}/embeddings.parquet"), leaf=16, visit_share=2.5, visit_least=0).collect()}
     hits = total = 0
     for i in np.flatnonzero(ids % 20 == 0):
         best = [j for j in np.argsort(-(points @ points[i]))[:21] if j != i][:20]
         hits += sum((ids[i], ids[j]) in found for j in best)
         total += 20
-    assert hits / total >= 0.9
+    return hits / total
+
+
+def test_recall_on_the_table(spark, medium):
+    import numpy as np
+
+    rows = spark.read.parquet(f"{medium}/embeddings.parquet").collect()
+    ids, points = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    found = {(r.query_id, r.vec_id) for r in neighbours.nearest(spark.read.parquet(f"{medium}/embeddings.parquet")).collect()}
+    assert recall(ids, points, found) >= 0.9
+
+
+@pytest.mark.parametrize("slices", [1, 3])
+def test_recall_with_the_shipped_settings(spark, monkeypatch, slices):
+    import numpy as np
+    import pandas as pd
+
+    # No structure at all: the hardest case. The leaves hold about 0.7 of the classes, with repeats.
+    points = np.random.default_rng(3).normal(size=(12_000, 64))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    assert neighbours.visits(12_000) < 0.75 * 12_000
+    frame = pd.DataFrame({"vec_id": range(12_000), "embedding": points.tolist()})
+    table = spark.createDataFrame(frame, "vec_id bigint, embedding array<double>").repartition(8)
+    monkeypatch.setattr(neighbours, "slices_of", lambda *_: slices)
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 64)
+    found = {(r.query_id, r.vec_id) for r in neighbours.nearest(table).collect()}
+    assert recall(np.arange(12_000), points, found) >= 0.9
+
+
+def test_work_grows_slower_than_all_pairs():
+    pairs = [neighbours.visits(n) * n / 20 for n in (10_000, 50_000, 1_000_000_000)]
+    assert pairs[1] / pairs[0] < 17 < 25
+    assert neighbours.visits(10**9) < 0.05 * 10**9
+    # However many queries there are, a task gets a bounded part of those that visit its leaf.
+    n = 10**9
+    assert n / 20 * neighbours.visits(n) / (10 * n) / neighbours.slices_of(n // 20, n, neighbours.visits(n), 10) <= neighbours.MOST_QUERIES
 
 
 @pytest.mark.parametrize(("file", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])

@@ -239,11 +239,12 @@ def test_repeats_against_all_windows(spark, documents, texts):
                 gone[p : p + 400] = b"\1" * 400
         runs = len(re.findall(b"\1+", bytes(gone)))
         left = bytes(b for b, g in zip(data, gone, strict=True) if not g)
-        want.append((key, len(data), sum(gone), runs, hashlib.sha256(left).hexdigest()))
+        want.append((key, len(data), sum(gone), runs, hashlib.sha256(left).hexdigest(), any(gone)))
     got = [tuple(r) for r in repeats.digest(repeats.find_repeats(documents)).collect()]
     order = lambda r: (r[0] is not None, r[0] or 0, *r[1:])
     assert sorted(got, key=order) == sorted(want, key=order)
     assert repeats.find_repeats(empty(spark)).count() == 0
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("repeats_")]
 
 
 def test_long_texts_are_cut_into_parts_without_loss(monkeypatch):
