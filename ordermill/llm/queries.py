@@ -102,7 +102,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_token_counts": op13_token_counts,
 }
 
-_OP8 = r"""
+_LONG = ", ".join(f"'{suffix}'" for suffix in url_reputation.TWO_LABEL_SUFFIXES)
+
+_OP8 = rf"""
 WITH cut AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), parts AS (
@@ -115,7 +117,9 @@ WITH cut AS (
       WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
       WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
       WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule,
-    array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix
+    array_to_string(string_split(host, '.')[-2:], '.') AS two,
+    CASE WHEN two IN ({_LONG}) THEN array_to_string(string_split(host, '.')[-3:], '.') ELSE two END AS domain,
+    CASE WHEN two IN ({_LONG}) THEN two ELSE string_split(host, '.')[-1] END AS suffix
   FROM parts
 ), hosts AS (
   SELECT host, domain, suffix, count(*)::DOUBLE AS n, sum((rule IN ('net/', 'example.com/de/'))::INT)::DOUBLE AS bad

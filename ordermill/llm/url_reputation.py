@@ -4,7 +4,8 @@ Outcomes of labelled pages (1: blocked, 0: allowed) are counted by host, by
 registered domain and by suffix. Each level's rate is shrunk to its parent's
 with a beta-binomial prior whose strength is fitted by moments to the spread
 between the siblings. A host is blocked if the lower bound of its posterior
-rate is above a limit. Everything is column expressions and aggregates.
+rate is above a limit. Everything is column expressions and aggregates; pages are read
+twice, for the counts of their hosts, which are written, and to be judged.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.llm.common import Scratch
+
 # The listed rules.
 RULES = (
     ("net", "/", "block"),
@@ -22,6 +25,12 @@ RULES = (
     ("org", "/fr/", "allow"),
 )
 
+# Suffixes of two labels, under which a registered domain has three.
+TWO_LABEL_SUFFIXES = (
+    "co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "or.jp", "ac.jp",
+    "co.kr", "com.br", "com.mx", "com.ar", "com.cn", "com.tr", "co.in", "co.za", "com.ng", "org.ng", "gov.ng",
+)
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -56,8 +65,10 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def levels(host: Column) -> tuple[Column, Column]:
-    """Registered domain (last two labels) and suffix (last label)."""
-    return F.substring_index(host, ".", -2), F.substring_index(host, ".", -1)
+    """Registered domain and suffix: the last two labels and the last, one more each under a suffix of two labels."""
+    two = F.substring_index(host, ".", -2)
+    long = two.isin(*TWO_LABEL_SUFFIXES)
+    return F.when(long, F.substring_index(host, ".", -3)).otherwise(two), F.when(long, two).otherwise(F.substring_index(host, ".", -1))
 
 
 def _spread(groups: DataFrame, settings: Reputation) -> float:
@@ -75,18 +86,20 @@ def _spread(groups: DataFrame, settings: Reputation) -> float:
 
 
 def host_reputation(outcomes: DataFrame, settings: Reputation = Reputation()) -> dict[str, DataFrame | float]:
-    """Fit the hierarchy to ``outcomes`` (host, bad 0/1).
+    """The hierarchy fitted to ``outcomes`` (host, bad 0/1), see :func:`fit`."""
+    known = outcomes.where(F.col("host").isNotNull() & F.col("bad").isNotNull())
+    counts = known.groupBy("host").agg(F.count("*").cast("double").alias("n"), F.sum("bad").cast("double").alias("bad"))
+    return fit(Scratch(outcomes.sparkSession, "url-hosts").keep(counts), settings)
+
+
+def fit(counts: DataFrame, settings: Reputation = Reputation()) -> dict[str, DataFrame | float]:
+    """Fit the hierarchy to a written table of hosts with their outcomes (host, n, bad).
 
     Returns shrunk rates by host, domain and suffix, the overall rate, and the
     strength of a host's prior. Only four single rows of sums reach the driver.
     """
     domain, suffix = levels(F.col("host"))
-    hosts = (
-        outcomes.where(F.col("host").isNotNull() & F.col("bad").isNotNull())
-        .groupBy("host")
-        .agg(F.count("*").cast("double").alias("n"), F.sum("bad").cast("double").alias("bad"))
-        .withColumns({"domain": domain, "suffix": suffix})
-    )
+    hosts = counts.withColumns({"domain": domain, "suffix": suffix})
     sums = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     total = hosts.agg(*sums).first()
     overall = ((total.bad or 0.0) + 0.5) / ((total.n or 0.0) + 1.0)
@@ -118,12 +131,19 @@ def judge(pages: DataFrame, rules=RULES, settings: Reputation = Reputation()) ->
     judged = pages.select(*keep).withColumns({"host": host, "path": path})
     name, listed = rule_of(F.col("host"), F.col("path"), rules)
     judged = judged.withColumns({"rule": name, "listed": listed})
-    outcomes = judged.where("listed is not null").select("host", (F.col("listed") == "block").cast("int").alias("bad"))
-    fitted = host_reputation(outcomes, settings)
+    # One pass over the pages counts the outcomes of each host and whether any of its pages is unlisted.
+    hosts = Scratch(pages.sparkSession, "url-hosts").keep(
+        judged.groupBy("host").agg(
+            F.count("listed").cast("double").alias("n"),
+            F.count_if(F.col("listed") == "block").cast("double").alias("bad"),
+            F.max(F.col("listed").isNull()).alias("asked"),
+        )
+    )
+    fitted = fit(hosts.where("n > 0").select("host", "n", "bad"), settings)
 
     domain, suffix = levels(F.col("host"))
     known = (
-        judged.where("listed is null").select("host").distinct().withColumns({"domain": domain, "suffix": suffix})
+        hosts.where("asked").select("host").withColumns({"domain": domain, "suffix": suffix})
         .join(fitted["hosts"].select("host", "n", "bad"), "host", "left")
         .join(fitted["domains"].select("domain", F.col("rate").alias("domain_rate")), "domain", "left")
         .join(fitted["suffixes"].select("suffix", F.col("rate").alias("suffix_rate")), "suffix", "left")

@@ -54,6 +54,24 @@ def test_neighbours_against_all_pairs(spark):
     assert neighbours.nearest(table.limit(0)).count() == 0
 
 
+def test_domains_under_suffixes_of_two_labels(spark):
+    from pyspark.sql import functions as F
+
+    hosts = ["a.b.co.uk", "b.co.uk", "co.uk", "x.y.com", "com", "", "m.gov.ng"]
+    table = spark.createDataFrame([(h,) for h in hosts], "host string").select("host", *url_reputation.levels(F.col("host")))
+    want = [("b.co.uk", "co.uk"), ("b.co.uk", "co.uk"), ("co.uk", "co.uk"), ("y.com", "com"), ("com", "com"), ("", ""), ("m.gov.ng", "gov.ng")]
+    assert [tuple(r)[1:] for r in table.collect()] == want
+
+
+def test_pages_are_read_twice(spark, medium, monkeypatch):
+    written = []
+    real = url_reputation.Scratch.keep
+    monkeypatch.setattr(url_reputation.Scratch, "keep", lambda self, frame: written.append(frame) or real(self, frame))
+    plan = queries.op8_url_reputation(spark, medium)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(written) == 1 and plan.count("url#") > 0
+    assert sum("Relation [" in line and "url#" in line for line in plan.splitlines()) == 1
+
+
 def recall(ids, points, found):
     import numpy as np
 
