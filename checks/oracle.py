@@ -353,6 +353,9 @@ _BODIES = {
     "cleaning_funnel": _FUNNEL,
     "quality_match_counts": "SELECT missing_customers, missing_products, valid_orders FROM q",
     "load_roundtrip": "SELECT * FROM sales_all",
+    "sketched_customers": """
+      SELECT city, count(*) AS total_orders, count(DISTINCT customer_id) AS customers, true AS close
+      FROM f WHERE city IS NOT NULL GROUP BY city""",
     "load_kept_after_failure": "SELECT * FROM sales_all",
     "load_roundtrip_valid": "SELECT * FROM f",
     "load_count_check": """

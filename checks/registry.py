@@ -21,7 +21,7 @@ from ordermill.operators.dedup import keep_first, keep_first_counting
 from ordermill.operators.filters import apply_filters, filter_domains
 from ordermill.operators.match import match_counts
 from ordermill.runs import run_batch
-from ordermill.plans import batch, dashboard, profile, quality
+from ordermill.plans import batch, dashboard, profile, quality, sketches
 from ordermill.plans.present import (
     BEST_PRODUCT_LABELS,
     CATEGORY_SHARE_LABELS,
@@ -133,6 +133,14 @@ def _load_kept_after_failure(spark: SparkSession, folder: str) -> DataFrame:
     return store.open_sales(spark, path)
 
 
+def _sketched_customers(valid: DataFrame) -> DataFrame:
+    """Orders per city with the exact number of customers, and whether the sketched one is within a tenth of it."""
+    sketched = sketches.sketched_counts(sketches.distinct_sketches(valid), "city")
+    exact = valid.where("city is not null").groupBy("city").agg(F.count_distinct("customer_id").alias("customers"))
+    near = F.abs(F.col("unique_customers") - F.col("customers")) <= F.col("customers") * 0.1
+    return sketched.join(exact, "city").select("city", "total_orders", "customers", near.alias("close"))
+
+
 def _catalog_table(spark: SparkSession, folder: str) -> DataFrame:
     name = f"sales_summary_{uuid.uuid4().hex}"
     store.save_sales_table(sales(spark, folder, valid_only=False), name)
@@ -286,6 +294,7 @@ QUERIES: dict[str, Query] = {
         )
     ),
     "currency_labels": _board(_currency_labels),
+    "sketched_customers": _board(_sketched_customers),
     # order of rows
     "sales_date_positions": lambda spark, folder: _positions(
         in_date_order(sales(spark, folder, True)), "order_id"

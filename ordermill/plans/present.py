@@ -28,7 +28,6 @@ CATEGORY_SHARE_LABELS = {
     "revenue": "Revenue",
     "share_pct": "% Share",
 }
-MONTHLY_LABELS = {"year_month": "Month", "revenue": "Revenue", "bar": "Bar"}
 CUSTOMER_TABLE_LABELS = {
     "customer_id": "ID",
     "customer_name": "Name",
