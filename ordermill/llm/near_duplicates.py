@@ -264,9 +264,9 @@ def compared(rows: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return rows.mapInArrow(lambda batches: _compare_blocks(batches, similarity), "a binary, b binary")
 
 
-def star_links(stars: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+def star_links(stars: DataFrame, sets: DataFrame, similarity: int, scratch: Scratch) -> DataFrame:
     """Links of nodes ``b`` to the one node ``a`` each has in ``stars``; a node with many is met by blocks of them."""
-    blocks = stars.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    blocks = scratch.keep(stars.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
     rows = stars.join(blocks, "a").withColumn("j", 1 + F.pmod(F.xxhash64("b"), "blocks").cast("int"))
     rows = rows.select(F.col("a").alias("cluster"), F.lit(0).alias("i"), "j", F.col("j").alias("side"), F.col("b").alias("set_id"))
     each = blocks.select("a", F.explode(F.sequence(F.lit(1), F.col("blocks"))).alias("j"))
@@ -274,10 +274,11 @@ def star_links(stars: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return compared(rows.union(centres), sets, similarity)
 
 
-def block_links(clusters: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+def block_links(clusters: DataFrame, sets: DataFrame, similarity: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) that join all that is linked within clusters of (set_id, cluster, part).
 
-    Members of the largest part are known to be joined; all others are compared with all members.
+    Members of the largest part are known to be joined; all others are compared with all members. Sizes are
+    written before they are joined: Spark can then cut the partition of a large cluster.
     """
     parts = clusters.groupBy("cluster", "part").agg(F.count("*").alias("n"))
     sizes = parts.groupBy("cluster").agg(F.sum("n").alias("all"), F.max(F.struct("n", "part")).alias("largest")).select(
@@ -285,7 +286,7 @@ def block_links(clusters: DataFrame, sets: DataFrame, similarity: int) -> DataFr
         F.ceil(F.col("largest.n") / BLOCK).cast("int").alias("inner"),
         F.ceil((F.col("all") - F.col("largest.n")) / BLOCK).cast("int").alias("outer"),
     )
-    rows = clusters.join(sizes.where("outer > 0"), "cluster")
+    rows = clusters.join(scratch.keep(sizes.where("outer > 0")), "cluster")
     is_inner, last = F.col("part") == F.col("largest"), F.col("inner") + F.col("outer") - 1
     hashed = F.xxhash64("set_id")
     side = F.when(is_inner, F.pmod(hashed, "inner")).otherwise(F.col("inner") + F.pmod(hashed, "outer")).cast("int")
@@ -338,10 +339,10 @@ def near_duplicates(
 
     stars, others = star_pairs(buckets, scratch)
     clusters = components(stars.union(others), scratch).withColumnRenamed("label", "cluster")
-    links = scratch.keep(star_links(stars, sets, similarity))
+    links = scratch.keep(star_links(stars, sets, similarity, scratch))
     parts = components(links, scratch).withColumnRenamed("label", "part")
     known = clusters.join(parts, "set_id", "left").withColumn("part", F.coalesce("part", "set_id"))
-    more = scratch.keep(block_links(scratch.keep(known), sets, similarity))
+    more = scratch.keep(block_links(scratch.keep(known), sets, similarity, scratch))
     labels = components(links.union(more), scratch)
 
     rooted = nodes.select("set_id", "least_key").join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
