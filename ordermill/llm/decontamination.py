@@ -5,7 +5,8 @@ is one run) is a pattern. Each word of the benchmark gets a letter of its own, s
 a pattern is a short string, and a document becomes a string with a blank letter
 for words the benchmark does not have. One scan of that string finds every
 pattern; a position in it is a word's number, which maps back to the original
-text. The benchmark is split into blocks of bounded size, one automaton each.
+text. A benchmark of more than a bounded size is split into blocks, one automaton each; documents
+are then written once and read once for each block, which adds the rows that it hits.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.session import scratch_path
+from ordermill.llm.common import Scratch, private_name
 
 WINDOW = 10
 # Bytes of benchmark text in one automaton: about 150 MB as patterns in a worker.
@@ -36,7 +37,8 @@ _TABLE = bytes(
     for b in range(256)
 )
 
-STATE = "n_words bigint, hits array<struct<first: bigint, last: bigint>>, items array<string>"
+FOUND = "row bigint, hits array<struct<first: bigint, last: bigint>>, items array<string>"
+HITS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -120,29 +122,43 @@ def _matcher(name: str, items: list[tuple[str | None, str | None]], window: int)
 def _scan(items: list[tuple[str | None, str | None]], window: int, name: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _matcher(name, items, window)
-        kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
         for batch in batches:
             names = batch.schema.names
-            texts = batch.column(names.index("_text")).to_pylist()
-            old = [batch.column(names.index(c)).to_pylist() for c in ("hits", "items")]
             counts, hits, found = [], [], []
-            for text, before, items_before in zip(texts, *old, strict=True):
+            for text in batch.column(names.index("_text")).to_pylist():
                 words = words_of(text)
                 ranges, who = matcher.scan(words)
-                if before:
-                    ranges = merge_ranges([*ranges, *((r["first"], r["last"]) for r in before)])
                 counts.append(len(words))
                 hits.append([{"first": a, "last": b} for a, b in ranges])
-                found.append(sorted({*who, *(items_before or [])}))
-            kept = [i for i, c in enumerate(names) if c not in ("n_words", "hits", "items")]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in kept), pa.array(counts, pa.int64()), pa.array(hits, kind), pa.array(found, pa.list_(pa.string()))],
-                [*(names[i] for i in kept), "n_words", "hits", "items"],
-            )
+                found.append(sorted(who))
+            outputs = [pa.array(counts, pa.int64()), pa.array(hits, HITS), pa.array(found, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *outputs], [*names, "n_words", "hits", "items"])
 
     return work
 
 
+def _scan_more(items: list[tuple[str | None, str | None]], window: int, name: str):
+    """(row, hits, items) of the rows that a further block hits."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = _matcher(name, items, window)
+        for batch in batches:
+            found = [(row, *matcher.scan(words_of(text))) for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            found = [x for x in found if x[1]]
+            hits = [[{"first": a, "last": b} for a, b in ranges] for _, ranges, _ in found]
+            columns = [pa.array([x[0] for x in found], pa.int64()), pa.array(hits, HITS), pa.array([sorted(x[2]) for x in found], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "hits", "items"])
+
+    return work
+
+
+def _merge_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the hits of several blocks, as ranges that do not meet."""
+    for batch in batches:
+        hits = [[{"first": a, "last": b} for a, b in merge_ranges([(r["first"], r["last"]) for r in own])] for own in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hits, HITS), batch.column(2)], ["row", "hits", "items"])
+
+
 def benchmark_blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int, window: int) -> Iterator[list[tuple[str | None, str | None]]]:
     """The benchmark in blocks of at most ``block_bytes`` (a longer item is a block of its own).
 
@@ -192,23 +208,40 @@ def find_contamination(
 
     A null or wordless text has no words and no hits; items without words match
     nothing; windows of items without an id are hits, but add nothing to ``items``; repeated rows stay repeated. Columns of the input named like the
-    three are replaced. No shuffle: documents are read once for each block of the
-    benchmark, which for all but very large benchmarks is one.
+    three are replaced. With a benchmark of one block nothing is shuffled or written; with more, the rows
+    are written once, read once for each further block, and joined with what these hit.
     """
     outputs = ("n_words", "hits", "items")
-    out = documents.drop(*outputs, "_text").withColumn("_text", F.col(text).cast("string"))
-    out = out.withColumns({"n_words": F.lit(0).cast("bigint"), "hits": F.lit(None).cast("array<struct<first: bigint, last: bigint>>"), "items": F.lit(None).cast("array<string>")})
-    schema = out.schema
+    rows = documents.drop(*outputs, "_text").withColumn("_text", F.col(text).cast("string"))
+    empty = {"n_words": "bigint", "hits": "array<struct<first: bigint, last: bigint>>", "items": "array<string>"}
+    schema = rows.withColumns({name: F.lit(None).cast(kind) for name, kind in empty.items()}).schema
+
+    def named(block: list[tuple[str | None, str | None]]) -> str:
+        return hashlib.sha256(repr((window, block)).encode()).hexdigest()
+
     blocks = benchmark_blocks(benchmark, item, item_text, block_bytes, window)
-    for number, block in enumerate(blocks):
-        if number:
-            # Each automaton leaves the worker before the next is built.
-            path = scratch_path(documents.sparkSession, "decontamination")
-            out.write.parquet(path)
-            out = documents.sparkSession.read.schema(schema).parquet(path)
-        name = hashlib.sha256(repr((window, block)).encode()).hexdigest()
-        out = out.mapInArrow(_scan(block, window, name), schema)
-    return out.drop("_text")
+    block = next(blocks)
+    out = rows.mapInArrow(_scan(block, window, named(block)), schema)
+    block = next(blocks, None)
+    if block is None:
+        return out.drop("_text")
+
+    # A block's automaton leaves the workers before the next is built: each is a job of its own.
+    scratch = Scratch(documents.sparkSession, "decontamination")
+    number = private_name(out, "row")
+    out = scratch.keep(out.withColumn(number, F.monotonically_increasing_id()))
+    texts, path = out.select(F.col(number).alias("row"), "_text"), f"{scratch.root}/more"
+    out.where(F.size("hits") > 0).select(F.col(number).alias("row"), "hits", "items").write.parquet(path)
+    while block is not None:
+        texts.mapInArrow(_scan_more(block, window, named(block)), FOUND).write.mode("append").parquet(path)
+        block = next(blocks, None)
+    found = documents.sparkSession.read.schema(FOUND).parquet(path).groupBy("row").agg(
+        F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+    )
+    found = scratch.keep(found.mapInArrow(_merge_hits, FOUND)).withColumnRenamed("row", number)
+    none = [F.coalesce(found[name], F.array().cast(empty[name])).alias(name) for name in ("hits", "items")]
+    kept = [c for c in out.columns if c not in (number, "_text", "hits", "items")]
+    return out.drop("hits", "items").join(found, number, "left").select(*kept, *none)
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
