@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.session import scratch_path
+from ordermill.session import drop_folder, scratch_path
 
 # Arrow's own pool keeps what it once took, which adds up in workers that are used again.
 pa.set_memory_pool(pa.system_memory_pool())
@@ -54,6 +54,13 @@ class Scratch:
         frame.write.parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def keep_only(self, frame: DataFrame) -> DataFrame:
+        """The frame written, and all that was written before deleted."""
+        kept = self.keep(frame)
+        for number in range(1, self.count):
+            drop_folder(self.spark, f"{self.root}/{number}")
+        return kept
+
 
 def text_groups(
     column: pa.Array, most: int = GROUP_BYTES

@@ -260,12 +260,15 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch], similarity: int) -> Itera
 def compared(rows: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Links (a, b) that join what is linked within each (cluster, i, j) of (cluster, i, j, side, set_id)."""
     rows = rows.join(sets, "set_id").select("cluster", "i", "j", "side", "set_id", "shingles")
-    rows = rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    rows = rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "side")
     return rows.mapInArrow(lambda batches: _compare_blocks(batches, similarity), "a binary, b binary")
 
 
 def star_links(stars: DataFrame, sets: DataFrame, similarity: int, scratch: Scratch) -> DataFrame:
-    """Links of nodes ``b`` to the one node ``a`` each has in ``stars``; a node with many is met by blocks of them."""
+    """Which nodes ``b`` are linked to the one node ``a`` that each has in ``stars``; a node with many is met by blocks of them.
+
+    The centre comes first in its blocks, so it is the root of their forests: a link's ``a`` is always the centre.
+    """
     blocks = scratch.keep(stars.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
     rows = stars.join(blocks, "a").withColumn("j", 1 + F.pmod(F.xxhash64("b"), "blocks").cast("int"))
     rows = rows.select(F.col("a").alias("cluster"), F.lit(0).alias("i"), "j", F.col("j").alias("side"), F.col("b").alias("set_id"))
@@ -340,7 +343,7 @@ def near_duplicates(
     stars, others = star_pairs(buckets, scratch)
     clusters = components(stars.union(others), scratch).withColumnRenamed("label", "cluster")
     links = scratch.keep(star_links(stars, sets, similarity, scratch))
-    parts = components(links, scratch).withColumnRenamed("label", "part")
+    parts = links.select(F.col("b").alias("set_id"), F.col("a").alias("part"))
     known = clusters.join(parts, "set_id", "left").withColumn("part", F.coalesce("part", "set_id"))
     more = scratch.keep(block_links(scratch.keep(known), sets, similarity, scratch))
     labels = components(links.union(more), scratch)
@@ -351,7 +354,9 @@ def near_duplicates(
     out = signed.select("key", "n_shingles", "set_id").join(named, "set_id", "left")
     # Only a row without shingles is its own component; a component without keys has none.
     component = F.when(F.col("set_id").isNull(), F.col("key")).otherwise(F.col("component_id"))
-    return out.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), F.col("key").eqNullSafe(component).alias("kept"))
+    out = out.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), F.col("key").eqNullSafe(component).alias("kept"))
+    # The result is narrow; once it is written nothing else is needed.
+    return scratch.keep_only(out)
 
 
 def candidates(rows: DataFrame, similarity: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.common import Scratch, private_name
-from ordermill.session import scratch_path
+from ordermill.session import drop_folder, scratch_path
 
 LIMIT = 0.3
 HELD_OUT = 2
@@ -204,6 +204,7 @@ def train_dictionaries(documents: DataFrame, labels: DataFrame, key: str = "doc_
     size = min(DICTIONARY_BYTES, ORDINARY_TIMES * len(toxic) + ORDINARY_LEAST)
     whole = counted.where("substring(string, -1) = X'20' and good > 0")
     common = whole.orderBy(F.desc("good"), "string").limit(TRAINING_WORDS).select("string", "good").collect()
+    drop_folder(spark, scratch.root)
     return toxic, train_ordinary([(bytes(row.string).strip(), row.good) for row in common], good_rows, size)
 
 
