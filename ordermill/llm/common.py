@@ -51,7 +51,7 @@ class Scratch:
     def keep(self, frame: DataFrame) -> DataFrame:
         self.count += 1
         path = f"{self.root}/{self.count}"
-        frame.write.parquet(path)
+        frame.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def keep_only(self, frame: DataFrame) -> DataFrame:

@@ -369,7 +369,7 @@ def drop_toxic(documents: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     dictionaries = train_dictionaries(documents, labels, key, text)
     hits, windows = (private_name(documents, name) for name in ("hits", "windows"))
     path = scratch_path(spark, "toxicity-measured")
-    with_hits(documents, dictionaries, text, (hits, windows)).write.parquet(path)
+    with_hits(documents, dictionaries, text, (hits, windows)).write.option("compression", "zstd").parquet(path)
     measured = spark.read.parquet(path)
     narrow = measured.select(F.col(key).alias("key"), F.col(hits).alias("hits"), F.col(windows).alias("windows"))
     model = calibrate(narrow, labels.withColumnRenamed(key, "key"), dictionaries)
