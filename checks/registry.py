@@ -121,7 +121,7 @@ def _clean_orders_inferred_dates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _load_kept_after_failure(spark: SparkSession, folder: str) -> DataFrame:
-    """The stored fact after a load of the valid rows alone that its check refused."""
+    """The stored fact after a load of its valid rows alone that its check refused."""
     path = scratch_path(spark, "sales")
     store.save_sales(sales(spark, folder, valid_only=False), path)
 
@@ -129,7 +129,8 @@ def _load_kept_after_failure(spark: SparkSession, folder: str) -> DataFrame:
         raise RuntimeError(f"{loaded.count()} rows are not all sales")
 
     with contextlib.suppress(RuntimeError):
-        store.save_sales(sales(spark, folder, valid_only=True), path, check=refuse)
+        # The rows that are stored already serve the second load: nothing is cleaned and joined again.
+        store.save_sales(store.open_sales(spark, path, valid_only=True), path, check=refuse)
     return store.open_sales(spark, path)
 
 
