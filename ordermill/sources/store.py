@@ -221,7 +221,25 @@ def export_csv(
 
     ``single_file`` makes ``path`` one file with one header. Its parts are written by many tasks
     and joined as files, see :func:`join_files`, so no task gets all rows.
+
+    The rows are first written beside ``path``, until it is there: the look at the dates, the
+    sample that a sort takes and the sort itself read those, and build no fact of their own.
     """
+    staged = f"{path}.rows-{uuid.uuid4().hex}"
+    try:
+        _export_staged(_staged(sales, staged), path, ordered, single_file)
+    finally:
+        drop_folder(sales.sparkSession, staged)
+
+
+def _staged(rows: DataFrame, folder: str) -> DataFrame:
+    """The rows, written once; columns by place, as Parquet does not take all names."""
+    placed = rows.toDF(*(f"c{number}" for number in range(len(rows.columns))))
+    placed.write.option("compression", "zstd").parquet(folder)
+    return rows.sparkSession.read.schema(placed.schema).parquet(folder).toDF(*rows.columns)
+
+
+def _export_staged(sales: DataFrame, path: str, ordered: bool, single_file: bool) -> None:
     rows = in_date_order(sales) if ordered else sales
     moment = F.col("order_date")
     timed = moment != moment.cast("date").cast("timestamp_ntz")

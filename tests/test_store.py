@@ -6,6 +6,7 @@ import pytest
 from helpers import fact, values
 from pyspark.sql import functions as F
 
+from checks import registry
 from ordermill.operators.filters import apply_filters
 from ordermill.plans.profile import feed_profile, preview_feed, preview_sales, schema_report
 from ordermill.plans.sales import valid_sales
@@ -129,6 +130,37 @@ def test_export_of_one_file(spark, sales, tmp_path):
     assert path.read_text(encoding="utf-8") == ",".join(SALES_COLUMNS) + "\n"
 
 
+@pytest.mark.parametrize("single_file", [False, True])
+def test_an_export_builds_its_rows_once(spark, sales, tmp_path, single_file):
+    built = spark.sparkContext.accumulator(0)
+
+    def same_name(name):
+        built.add(1)
+        return name
+
+    noted = F.udf(same_name, "string").asNondeterministic()
+    rows = sales.withColumn("customer_name", noted("customer_name"))
+    path = str(tmp_path / "sales.csv")
+    store.export_csv(rows, path, single_file=single_file)
+    assert built.value == 60
+    assert same(store.read_csv_export(spark, path), sales)
+    assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["sales.csv"]
+
+
+def test_a_refused_load_of_valid_rows_reads_what_is_stored(spark, small, monkeypatch):
+    built = []
+    real = registry.sales
+
+    def noted(spark, folder, valid_only):
+        built.append(valid_only)
+        return real(spark, folder, valid_only)
+
+    monkeypatch.setattr(registry, "sales", noted)
+    kept = registry.QUERIES["load_kept_after_failure"](spark, small)
+    assert built == [False]
+    assert same(kept, real(spark, small, False))
+
+
 def test_no_task_of_a_single_export_gets_all_rows(spark, sales, tmp_path, with_conf, monkeypatch):
     with_conf(spark__sql__adaptive__coalescePartitions__enabled="false")
     parts = []
