@@ -9,6 +9,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordermill.operators.clean import (
     ORDERS,
@@ -188,7 +189,10 @@ def _csv_export_single_file(spark: SparkSession, folder: str) -> DataFrame:
 def _as_csv(spark: SparkSession, feed: DataFrame, name: str) -> str:
     """The feed as CSV files that follow each other in its row order."""
     path = scratch_path(spark, f"{name}-feed")
-    feed.orderBy(SEQ).drop(SEQ).write.option("header", True).csv(path)
+    kind = feed.schema[SEQ].dataType
+    # The fields of a struct one by one: the first then sorts by number, not by comparing rows.
+    order = [f"{SEQ}.{field}" for field in kind.names] if isinstance(kind, T.StructType) else [SEQ]
+    feed.orderBy(*order).drop(SEQ).write.option("header", True).csv(path)
     return path
 
 

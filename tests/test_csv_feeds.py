@@ -1,10 +1,13 @@
 import csv
 import io
 import random
+from pathlib import Path
 
 import pytest
 from helpers import values
+from pyspark.sql import DataFrame
 
+from checks import registry
 from ordermill.operators.clean import clean_customers
 from ordermill.schema import CUSTOMER_COLUMNS, SOURCE_ORDINAL
 from ordermill.sources import csv_feeds
@@ -236,3 +239,28 @@ def test_head_reads_on_past_files_without_rows(spark, write):
 def test_bad_option(spark, write):
     with pytest.raises(ValueError):
         read_customers(spark, write(HEADER), surplus="ignore")
+
+
+def test_only_lines_with_a_quote_are_looked_at_by_patterns(spark, tmp_path, monkeypatch):
+    # A pattern that fits the plain line too: were it asked, that line could close what the other opens.
+    monkeypatch.setattr(csv_feeds, "_CLOSES", "^plain")
+    path = tmp_path / "feed.csv"
+    path.write_text('a,b\nx"y,"z\nplain,1\n')
+    with pytest.raises(ValueError, match="never closed"):
+        csv_feeds.files_with_line_breaks(spark, str(path))
+    assert len(csv_feeds.files_with_line_breaks(spark, str(path), open_quotes="accept")) == 1
+    path.write_text("a,b\nplain,1\n")
+    assert csv_feeds.files_with_line_breaks(spark, str(path)) == []
+
+
+def test_a_written_feed_is_sorted_by_the_fields_of_its_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "scratch_path", lambda spark, purpose: str(tmp_path / purpose))
+    orders = []
+    real = DataFrame.orderBy
+    monkeypatch.setattr(DataFrame, "orderBy", lambda rows, *by: orders.append(by) or real(rows, *by))
+    rows = [(f"r{n}", n % 3 or None, -n) for n in range(40)]
+    feed = spark.createDataFrame(rows, "name string, a int, b int").selectExpr("name", "struct(a, b) AS seq")
+    path = registry._as_csv(spark, feed.repartition(5), "rows")
+    assert orders == [("seq.a", "seq.b")]
+    lines = [line for part in sorted(Path(path).glob("part-*")) for line in part.read_text().splitlines() if line != "name"]
+    assert lines == [name for name, *_ in sorted(rows, key=lambda r: (r[1] or 0, r[2]))]
