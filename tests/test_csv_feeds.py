@@ -5,7 +5,6 @@ from pathlib import Path
 
 import pytest
 from helpers import values
-from pyspark.sql import DataFrame
 
 from checks import registry
 from ordermill.operators.clean import clean_customers
@@ -255,12 +254,12 @@ def test_only_lines_with_a_quote_are_looked_at_by_patterns(spark, tmp_path, monk
 
 def test_a_written_feed_is_sorted_by_the_fields_of_its_order(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(registry, "scratch_path", lambda spark, purpose: str(tmp_path / purpose))
-    orders = []
-    real = DataFrame.orderBy
-    monkeypatch.setattr(DataFrame, "orderBy", lambda rows, *by: orders.append(by) or real(rows, *by))
     rows = [(f"r{n}", n % 3 or None, -n) for n in range(40)]
-    feed = spark.createDataFrame(rows, "name string, a int, b int").selectExpr("name", "struct(a, b) AS seq")
-    path = registry._as_csv(spark, feed.repartition(5), "rows")
+    feed = spark.createDataFrame(rows, "name string, a int, b int").selectExpr("name", "struct(a, b) AS seq").repartition(5)
+    orders, kind = [], type(feed)
+    real = kind.orderBy
+    monkeypatch.setattr(kind, "orderBy", lambda rows, *by: orders.append(by) or real(rows, *by))
+    path = registry._as_csv(spark, feed, "rows")
     assert orders == [("seq.a", "seq.b")]
     lines = [line for part in sorted(Path(path).glob("part-*")) for line in part.read_text().splitlines() if line != "name"]
     assert lines == [name for name, *_ in sorted(rows, key=lambda r: (r[1] or 0, r[2]))]
