@@ -118,6 +118,48 @@ def test_work_grows_slower_than_all_pairs():
     assert n / 20 * neighbours.visits(n) / (10 * n) / neighbours.slices_of(n // 20, n, neighbours.visits(n), 10) <= neighbours.MOST_QUERIES
 
 
+def test_buckets_hold_leaves_that_lie_together():
+    import numpy as np
+
+    sizes = [np.array([3.0, 4.0, 2.0, 25.0, 5.0, 5.0, 1.0]), np.array([9.0]), np.array([10.0, 0.0, 10.0])]
+    buckets = neighbours.buckets_of(sizes, 10)
+    # A leaf of 25 is dealt over three; no bucket has leaves of two trees.
+    assert buckets.bucket.tolist() == [0, 0, 0, 1, 4, 4, 5, 6, 7, 8, 8] and buckets.pieces.tolist() == [1, 1, 1, 3, *[1] * 7]
+    assert buckets.bases.tolist() == [0, 7, 8, 11]
+
+
+def test_a_query_is_sent_once_to_a_bucket(spark, monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    points = np.random.default_rng(8).normal(size=(700, 16))
+    points[7:60] = points[6]
+    frame = pd.DataFrame({"vec_id": range(700), "embedding": points.tolist()})
+    table = spark.createDataFrame(frame, "vec_id bigint, embedding array<double>").repartition(3)
+    roots, real = [], neighbours.scratch_path
+    monkeypatch.setattr(neighbours, "scratch_path", lambda *a: roots.append(real(*a)) or roots[-1])
+    order = lambda rows: sorted(tuple(r) for r in rows)
+    want = order(neighbours.nearest(table, leaf=16).collect())
+    # A row for each query and tree, whatever the number of leaves visited; before, each leaf had one with the query's vector.
+    probes = spark.read.parquet(f"{roots[0]}/probes")
+    asked = 35 - 1
+    assert probes.count() <= neighbours.TREES * asked
+    lists = [np.concatenate([r.early, r.late]) for r in probes.collect()]
+    assert sum(map(len, lists)) > 5 * len(lists) and max(map(len, (r.early for r in probes.collect()))) <= neighbours.FIRST_LEAVES
+    # Small buckets, leaves dealt over several, and small blocks change nothing.
+    deal = neighbours.buckets_of
+    monkeypatch.setattr(neighbours, "buckets_of", lambda sizes: deal(sizes, 11))
+    monkeypatch.setattr(neighbours, "slices_of", lambda *_: 2)
+    for name, value in (("BLOCK", 5), ("QUERY_BLOCK", 7), ("SOME_QUERIES", 3), ("SOME_VISITS", 4), ("TASK_QUERIES", 20), ("HELD_PAIRS", 50)):
+        monkeypatch.setattr(neighbours, name, value)
+    got = order(neighbours.nearest(table, leaf=16).collect())
+    assert [r[:3] for r in got] == [r[:3] for r in want] and [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=1e-12)
+    # Numbers in single precision are scored in double precision.
+    single = neighbours.nearest(table.selectExpr("vec_id", "cast(embedding as array<float>) embedding"), leaf=16).where("query_id = 100").collect()
+    exact = points.astype(np.float32).astype(float)
+    assert [r.score for r in single] == pytest.approx([float(exact[100] @ exact[r.vec_id]) for r in single], abs=1e-12)
+
+
 @pytest.mark.parametrize(("file", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_pieces_give_the_tokenizers_own_ids(file, spaced):
     import numpy as np
